@@ -1,0 +1 @@
+"""Intentionally empty: no operator in scope reads or writes a stream."""
