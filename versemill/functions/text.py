@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The cleaning rules and word pattern must match exactly.
@@ -91,3 +91,11 @@ def unigrams_and_bigrams(tokens: Column) -> Column:
             lambda a, b: F.concat_ws(" ", a, b),
         ),
     )
+
+
+def exploded_tokens(df: DataFrame, tokens: Column, *cols: str) -> DataFrame:
+    """``cols, pos, token``: one line per token, in text order from 0.
+
+    The outer form keeps the optimizer from tokenising twice to skip empty texts early.
+    """
+    return df.select(*cols, F.posexplode_outer(tokens).alias("pos", "token")).where(F.col("pos").isNotNull())

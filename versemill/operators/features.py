@@ -51,6 +51,15 @@ def term_frequencies(df: DataFrame, text_col: str = "text", stop_words: Sequence
     )
 
 
+def exploded_terms(counted: DataFrame, *cols: str) -> DataFrame:
+    """``cols, term, tf``: one line per distinct term of a row.
+
+    The outer form is deliberate: the plain one makes the optimizer add a filter on the
+    size of ``tf`` below it, which repeats the whole counting expression.
+    """
+    return counted.select(*cols, F.inline_outer("tf")).where(F.col("term").isNotNull())
+
+
 def top_terms(counted: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """The most frequent terms of the corpus; ties go to the smaller term."""
     return counted.orderBy(F.desc("n_total"), "term").limit(max_features)
@@ -63,7 +72,7 @@ def tfidf_fit(train: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     """
     n_rows = train.agg(F.count(F.lit(1)).alias("n")).scalar()
     counted = (
-        train.select(F.inline("tf"))
+        exploded_terms(train)
         .groupBy("term")
         .agg(F.sum("tf").alias("n_total"), F.count(F.lit(1)).alias("n_docs"))
     )
@@ -118,7 +127,8 @@ def token_vocabulary(
 ) -> DataFrame:
     """Word ids by frequency in ``train`` (``term, token_id``); 0 and 1 are reserved."""
     counted = (
-        train.select(F.explode(word_tokens(F.col(text_col))).alias("term"))
+        train.select(F.explode_outer(word_tokens(F.col(text_col))).alias("term"))
+        .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_total"))
     )

@@ -195,13 +195,13 @@ def extractive_class_summary(
     terms = broadcast_if_small(vocabulary.select("term", "term_id"))
     sampled = class_sample(train.select("id", "label", "text"), n_docs, seed=seed)
     sentences = sampled.select(
-        "label", "sample_rank", F.posexplode(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))).alias("pos", "raw")
+        "label", "sample_rank", F.posexplode_outer(F.regexp_extract_all("text", F.lit(SENTENCE), F.lit(0))).alias("pos", "raw")
     ).select("label", "sample_rank", "pos", F.trim("raw").alias("sentence")).where(F.col("sentence") != "")
     words = without_stop_words(word_tokens(F.col("sentence")), stop_words)
     scored = (
         sentences.select(
             "label", "sample_rank", "pos", "sentence",
-            F.explode(F.array_distinct(unigrams_and_bigrams(words))).alias("term"),
+            F.explode_outer(F.array_distinct(unigrams_and_bigrams(words))).alias("term"),
         )
         .join(terms, "term", "left")
         .join(weights, ["label", "term_id"], "left")

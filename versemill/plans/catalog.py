@@ -155,20 +155,20 @@ def harmonize(spark, sf):
 @query
 def word_tokens(spark, sf):
     words = tx.word_tokens(F.col("text"))
-    return setup.documents(spark, sf).select("id", F.posexplode(words).alias("pos", "token"))
+    return tx.exploded_tokens(setup.documents(spark, sf), words, "id")
 
 
 @query
 def stop_word_filter(spark, sf):
     words = tx.without_stop_words(tx.word_tokens(F.col("text")), setup.STOP_WORDS)
-    return setup.documents(spark, sf).select("id", F.posexplode(words).alias("pos", "token"))
+    return tx.exploded_tokens(setup.documents(spark, sf), words, "id")
 
 
 @query
 def word_ngrams(spark, sf):
     """Distinct unigrams and bigrams of each document with their counts."""
     counted = features.term_frequencies(setup.documents(spark, sf), "text", setup.STOP_WORDS)
-    return counted.select("id", F.inline("tf"))
+    return features.exploded_terms(counted, "id")
 
 
 def _counted(spark, sf):

@@ -129,10 +129,13 @@ KEPT_WORDS = f"list_filter({WORDS}, lambda w: w NOT IN ({STOPS}))"
 def terms_sql(name: str, base: str, keys: str) -> str:
     """Distinct unigrams and bigrams per row with counts (``keys, term, tf``)."""
     return f"""{name}_w AS (SELECT {keys}, {KEPT_WORDS} AS w FROM {base}),
+{name}_u AS (SELECT {keys}, unnest(w) AS word, unnest(range(0, len(w))) AS word_at FROM {name}_w),
+{name}_b AS (
+  SELECT {keys}, word, word || ' ' || lead(word) OVER (PARTITION BY {keys} ORDER BY word_at) AS pair FROM {name}_u
+),
 {name} AS (
   SELECT {keys}, term, count(*) AS tf FROM (
-    SELECT {keys}, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
-    FROM {name}_w
+    SELECT {keys}, word AS term FROM {name}_b UNION ALL SELECT {keys}, pair FROM {name}_b WHERE pair IS NOT NULL
   ) GROUP BY ALL
 )"""
 
