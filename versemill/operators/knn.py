@@ -16,11 +16,13 @@ Cosine distance is searched as Euclidean distance of unit vectors (d_e^2 = 2 d_c
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +32,14 @@ from versemill.operators.joins import lookup_join
 from versemill.operators.sampling import class_lookup
 from versemill.session import stage_table
 
+# Task functions travel with their code, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 METRICS = ("cosine", "euclidean")
 MAX_PIVOTS = 1024
-BLOCK_BYTES = 32 * 1024 * 1024
-QUERY_BATCH = 4096
+# Both sides of a group are cut to this size. Shuffled copies shrink as it grows, because
+# each block meets fewer batches, so it is as large as a task can hold with ease.
+BLOCK_BYTES = 64 * 1024 * 1024
 PAIR_BUDGET = 4_000_000
 REL_TOLERANCE = 1e-6
 
@@ -124,7 +130,7 @@ def _nearest_cell(vectors: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray,
 
 def _pivot_rows(corpus: DataFrame, id_col: str, vector_col: str, n_rows: int, dim: int) -> np.ndarray:
     """A seeded sample of corpus vectors; its size is bounded by count and by bytes."""
-    by_bytes = BLOCK_BYTES // 4 // (8 * max(1, dim))
+    by_bytes = BLOCK_BYTES // 8 // (8 * max(1, dim))
     wanted = max(1, min(MAX_PIVOTS, by_bytes, int(np.sqrt(n_rows)) // 4))
     rows = corpus.select(vector_col).orderBy(F.xxhash64(F.lit("pivot"), id_col), id_col).limit(wanted)
     return matrix_of(rows.toArrow().column(0))
@@ -248,7 +254,7 @@ def plan_cells(
     )
     targets = _query_targets(queries, vector_col, layout)
     return CellLayout(
-        **{**layout.__dict__, "batches": np.maximum(1, -(-targets // QUERY_BATCH))}
+        **{**layout.__dict__, "batches": np.maximum(1, -(-targets // block_rows))}
     )
 
 

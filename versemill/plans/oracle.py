@@ -264,6 +264,30 @@ ALPHA_TEST = f"""{BLEND}, sweep_t AS (SELECT * FROM sweep WHERE split = 'test'),
 METRIC_NAMES = ["accuracy", "macro_f1", *[f"f1_{c}" for c in range(N_LABELS)]]
 
 
+# Columns that are 32-bit in Spark (positions, ranks, class numbers).
+NARROW = {
+    "class_sample": "sample_rank",
+    "word_tokens": "pos",
+    "stop_word_filter": "pos",
+    "word_ngrams": "tf",
+    "tfidf_vocabulary": "term_id",
+    "tfidf_vectors": "term_id",
+    "hashed_text_embedding": "pos",
+    "knn_cosine": "rank",
+    "knn_euclidean": "rank",
+    "knn_all_rows": "rank",
+    "knn_with_metadata": "rank",
+    "vote_distribution": "label",
+    "uniform_probabilities": "label",
+    "recall_per_class": "label",
+    "degradation_by_class": "loss_rank",
+    "leaderboard": "position",
+    "explain_errors": "rank",
+    "search_report": "rank",
+    "materialise_embeddings": "pos",
+}
+
+
 def _round(*names: str) -> str:
     return ", ".join(f"round({n}, 6) AS {n}" for n in names)
 
@@ -297,7 +321,7 @@ def sql() -> dict[str, str]:
         "judged AS (SELECT doc_id, text, source, lang, n_chars, quality, toxic"
         " FROM documents LEFT JOIN labels USING (doc_id))"
     )
-    return {
+    statements = {
         "rename_filter_language": "SELECT doc_id AS id, source AS label, text, n_chars FROM documents WHERE lang = 'en'",
         "normalise_and_map_labels": f"WITH {GENRES} SELECT doc_id AS id, label FROM documents"
         f" JOIN genres ON raw = {strip_sql('lower(source)')}",
@@ -483,3 +507,6 @@ FROM harm LEFT JOIN t USING (src, id, draw) WHERE split = 'test'""",
         "materialise_embeddings": """SELECT id, label, pos, round(x::DOUBLE, 6) AS value FROM (
   SELECT vec_id AS id, label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS pos FROM embeddings)""",
     }
+    for name, column in NARROW.items():
+        statements[name] = f"SELECT * REPLACE ({column}::INTEGER AS {column}) FROM ({statements[name]})"
+    return statements
