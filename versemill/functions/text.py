@@ -14,10 +14,14 @@ WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f
 # (?d): the dot stops at a line feed only, so a tag may span a carriage return.
 BRACKET_TAG = r"(?d)\[.*?\]"
 CARRIAGE_RETURN = r"\r\n?"
-OUTSIDE_ALPHABET = f"[^a-z0-9'{WHITESPACE}]"
+# Nested so that letters and spaces, nearly every character, are told apart first.
+OUTSIDE_ALPHABET = rf"[^a-z[ \n[0-9'{WHITESPACE}]]]"
 SPACE_RUN = " {2,}"
 BLANK_LINE_RUN = "\n{3,}"
-OUTER_WHITESPACE = rf"\A[{WHITESPACE}]+|[{WHITESPACE}]+\z"
+WHITESPACE_CHARACTERS = "".join(
+    map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 WORD = r"[\p{L}\p{N}_]{2,}"
 # End of fixed values.
 
@@ -27,20 +31,19 @@ TAGGED_LYRICS_RULES: tuple[tuple[str, str], ...] = (
     (OUTSIDE_ALPHABET, " "),
     (SPACE_RUN, " "),
     (BLANK_LINE_RUN, "\n\n"),
-    (OUTER_WHITESPACE, ""),
 )
 
 MULTILINGUAL_RULES: tuple[tuple[str, str], ...] = (
     (CARRIAGE_RETURN, "\n"),
     (SPACE_RUN, " "),
     (BLANK_LINE_RUN, "\n\n"),
-    (OUTER_WHITESPACE, ""),
 )
 
 
 def _apply_rules(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    return reduce(lambda acc, rule: F.regexp_replace(acc, rule[0], rule[1]), rules, lowered)
+    replaced = reduce(lambda acc, rule: F.regexp_replace(acc, rule[0], rule[1]), rules, lowered)
+    return strip_whitespace(replaced)
 
 
 def clean_genius(text: Column) -> Column:
@@ -55,7 +58,7 @@ def clean_multilingual(text: Column) -> Column:
 
 def strip_whitespace(text: Column) -> Column:
     """Unicode white space removed at both ends (``trim`` handles spaces only)."""
-    return F.regexp_replace(text, OUTER_WHITESPACE, "")
+    return F.btrim(text, F.lit(WHITESPACE_CHARACTERS))
 
 
 def normalise_label(label: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from versemill.functions.binding import bind
+
 
 def as_doubles(vector: Column) -> Column:
     return vector.cast("array<double>")
@@ -22,10 +24,20 @@ def l2_norm(vector: Column) -> Column:
     return F.sqrt(array_sum(F.transform(vector, lambda x: x * x)))
 
 
+def scaled(vector: Column, divisor: Column) -> Column:
+    """Every element divided by the same number."""
+    return bind(divisor, lambda d: F.transform(vector, lambda x: x / d))
+
+
 def softmax(scores: Column) -> Column:
     """M6: probabilities from scores; the maximum is subtracted so large scores do not overflow."""
-    shifted = F.transform(scores, lambda z: F.exp(z - F.array_max(scores)))
-    return F.transform(shifted, lambda e: e / array_sum(shifted))
+    return bind(
+        F.array_max(scores),
+        lambda top: bind(
+            F.transform(scores, lambda z: F.exp(z - top)),
+            lambda powers: scaled(powers, array_sum(powers)),
+        ),
+    )
 
 
 def uniform_scores(n_classes: int) -> Column:
@@ -35,7 +47,7 @@ def uniform_scores(n_classes: int) -> Column:
 
 def argmax_class(scores: Column) -> Column:
     """Zero-based position of the largest score; the lowest position wins a tie."""
-    return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
+    return bind(scores, lambda s: (F.array_position(s, F.array_max(s)) - 1).cast("int"))
 
 
 def blend(alpha: Column | float, p_neighbours: Column, p_model: Column) -> Column:

@@ -10,10 +10,11 @@ from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from versemill.functions.binding import bind
 from versemill.functions.vectors import argmax_class, as_doubles, blend, dot, l2_norm, softmax, uniform_scores
 from versemill.operators.knn import knn_join, majority_vote
 from versemill.operators.metrics import evaluate
@@ -146,22 +147,20 @@ def centroid_scores(
     if dims is not None:
         vector = F.slice(vector, 1, dims)
 
-    def cosine(center):
-        bottom = F.col("_length") * l2_norm(center)
-        return F.when(bottom > 0, F.lit(scale) * dot(center, F.col("_vector")) / bottom).otherwise(F.lit(0.0))
-
-    return (
-        df.withColumns({"_vector": vector, "_centers": table})
-        .withColumn("_length", l2_norm(F.col("_vector")))
-        .withColumn(
-            "scores",
-            F.transform(
-                F.sequence(F.lit(0), F.lit(n_classes - 1)),
-                lambda c: F.coalesce(cosine(F.try_element_at("_centers", c)), F.lit(0.0)),
-            ),
+    def cosines(v: Column, length: Column) -> Column:
+        def cosine(center: Column) -> Column:
+            return bind(
+                l2_norm(center) * length,
+                lambda bottom: F.when(bottom > 0, F.lit(scale) * dot(center, v) / bottom).otherwise(F.lit(0.0)),
+            )
+
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(n_classes - 1)),
+            lambda c: F.coalesce(cosine(F.try_element_at("_centers", c)), F.lit(0.0)),
         )
-        .drop("_vector", "_centers", "_length")
-    )
+
+    scores = bind(vector, lambda v: bind(l2_norm(v), lambda length: cosines(v, length)))
+    return df.withColumn("_centers", table).withColumn("scores", scores).drop("_centers")
 
 
 def model_probabilities(df: DataFrame, n_classes: int) -> DataFrame:

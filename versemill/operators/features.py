@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from versemill.functions.binding import bind
 from versemill.functions.text import unigrams_and_bigrams, without_stop_words, word_tokens
-from versemill.functions.vectors import array_sum
+from versemill.functions.vectors import l2_norm, scaled
 from versemill.operators.joins import broadcast_if_small
 from versemill.session import stage_table
 
@@ -29,25 +30,27 @@ def term_frequencies(df: DataFrame, text_col: str = "text", stop_words: Sequence
     where each run starts, and take the distance to the next start. Counting by
     ``groupBy(id, term)`` would shuffle every term of the corpus instead.
     """
-    terms = unigrams_and_bigrams(F.col("_tokens"))
-    n = F.size("_terms")
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (i <= n)
-        & ((i == 1) | (F.element_at("_terms", i) != F.element_at("_terms", F.greatest(i - 1, F.lit(1))))),
-    )
-    ends = F.concat(F.slice("_starts", F.lit(2), F.greatest(F.size("_starts") - 1, F.lit(0))), F.array(n + 1))
-    runs = F.zip_with(
-        "_starts",
-        ends,
-        lambda a, b: F.struct(F.element_at("_terms", a).alias("term"), (b - a).alias("tf")),
-    )
-    return (
-        df.withColumn("_tokens", without_stop_words(word_tokens(F.col(text_col)), stop_words))
-        .withColumn("_terms", F.sort_array(terms))
-        .withColumn("_starts", starts)
-        .withColumn("tf", F.when(n > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:int>>")))
-        .select(*df.columns, "tf")
+    tokens = without_stop_words(word_tokens(F.col(text_col)), stop_words)
+    terms = bind(tokens, unigrams_and_bigrams)
+    return df.withColumn("tf", bind(F.sort_array(terms), _runs))
+
+
+def _runs(terms: Column) -> Column:
+    """Runs of equal neighbours in a sorted array as ``array<struct<term, tf>>``."""
+
+    def at(i: Column) -> Column:
+        return F.try_element_at(terms, i)
+
+    def counted(starts: Column) -> Column:
+        nexts = F.concat(
+            F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), F.array(F.size(terms) + 1)
+        )
+        return F.zip_with(starts, nexts, lambda a, b: F.struct(at(a).alias("term"), (b - a).alias("tf")))
+
+    positions = F.sequence(F.lit(1), F.greatest(F.size(terms), F.lit(1)))
+    starts = F.filter(positions, lambda i: (i == 1) | (at(i) != at(F.greatest(i - 1, F.lit(1)))))
+    return F.when(F.size(terms) > 0, bind(starts, counted)).otherwise(
+        F.array().cast("array<struct<term:string,tf:int>>")
     )
 
 
@@ -105,13 +108,13 @@ def tfidf_transform(df: DataFrame, vocabulary: DataFrame, key_cols: Sequence[str
     """
     entry = F.when(F.col("term_id").isNotNull(), F.struct("term_id", "weight"))
     rows = _known_terms(df, vocabulary, key_cols).groupBy(*key_cols).agg(
-        F.sort_array(F.collect_list(entry)).alias("_entries")
+        F.sort_array(F.collect_list(entry)).alias("_entries"),
+        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"),
     )
-    length = F.sqrt(array_sum(F.transform("_entries", lambda e: e["weight"] * e["weight"])))
-    return rows.withColumn("_length", length).select(
+    return rows.select(
         *key_cols,
         F.col("_entries.term_id").alias("term_ids"),
-        F.transform("_entries", lambda e: e["weight"] / F.col("_length")).alias("weights"),
+        scaled(F.col("_entries.weight"), F.col("_length")).alias("weights"),
     )
 
 
@@ -194,15 +197,16 @@ def hashed_text_embedding(
             F.collect_list(F.when(F.col("_bucket").isNotNull(), F.struct("_bucket", "_value")))
         ).alias("_cells")
     )
-    length = F.sqrt(array_sum(F.transform(F.map_values("_cells"), lambda v: v * v)))
-    return filled.withColumn("_length", length).select(
-        *key_cols,
-        F.transform(
+
+    def dense(length: Column) -> Column:
+        value = lambda b: F.coalesce(F.try_element_at("_cells", b), F.lit(0.0))
+        return F.transform(
             F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda b: F.when(
-                F.col("_length") > 0, F.coalesce(F.element_at("_cells", b), F.lit(0.0)) / F.col("_length")
-            ).otherwise(F.lit(0.0)),
-        ).alias("embedding"),
+            lambda b: F.when(length > 0, value(b) / length).otherwise(F.lit(0.0)),
+        )
+
+    return filled.select(
+        *key_cols, bind(l2_norm(F.map_values("_cells")), dense).alias("embedding")
     )
 
 

@@ -172,7 +172,7 @@ def word_ngrams(spark, sf):
 
 
 def _counted(spark, sf):
-    rows = stage_table(setup.harmonized(spark, sf))
+    rows = tables.spread_small_scan(stage_table(setup.harmonized(spark, sf)))
     counted = features.term_frequencies(rows, "text", setup.DOCUMENTS.stop_words())
     vocabulary = features.fitted(features.tfidf_fit(counted.where(F.col("split") == "train")))
     return rows, counted, vocabulary
@@ -180,8 +180,9 @@ def _counted(spark, sf):
 
 @query
 def tfidf_vocabulary(spark, sf):
-    rows = setup.harmonized(spark, sf).where(F.col("split") == "train")
-    return rounded(features.tfidf_fit(features.term_frequencies(rows, "text", setup.DOCUMENTS.stop_words())))
+    staged = tables.spread_small_scan(stage_table(setup.harmonized(spark, sf)))
+    counted = features.term_frequencies(staged.where(F.col("split") == "train"), "text", setup.STOP_WORDS)
+    return rounded(features.tfidf_fit(counted))
 
 
 @query
@@ -193,7 +194,7 @@ def tfidf_vectors(spark, sf):
 
 @query
 def encode_fixed_length(spark, sf):
-    rows = stage_table(setup.harmonized(spark, sf))
+    rows = tables.spread_small_scan(stage_table(setup.harmonized(spark, sf)))
     words = features.fitted(features.token_vocabulary(rows.where(F.col("split") == "train")))
     encoded = features.encode_fixed_length(rows, words, ROW_KEY)
     return encoded.select(
@@ -207,7 +208,7 @@ def encode_fixed_length(spark, sf):
 def hashed_text_embedding(spark, sf):
     _, counted, vocabulary = _counted(spark, sf)
     vectors = features.hashed_text_embedding(counted, vocabulary, ROW_KEY)
-    return rounded(vectors.select(*ROW_KEY, F.posexplode("embedding").alias("pos", "value")))
+    return rounded(vectors.select(*ROW_KEY, F.posexplode_outer("embedding").alias("pos", "value")))
 
 
 @query
@@ -230,7 +231,7 @@ def score_batches(spark, sf):
     scored = features.score_batches(
         splits, make_predict_fn, ["embedding"], input_tensor_shapes=[[weights.shape[1]]]
     )
-    return rounded(scored.select("id", F.posexplode("scores").alias("label", "score")))
+    return rounded(scored.select("id", F.posexplode_outer("scores").alias("label", "score")))
 
 
 # --- neighbours ---------------------------------------------------------------------
@@ -278,7 +279,7 @@ def majority_vote(spark, sf):
 def vote_distribution(spark, sf):
     lists = knn.neighbor_lists(setup.neighbors_of(setup.embedding_splits(spark, sf), "euclidean", query_cols=()))
     shares = knn.vote_distribution(lists, setup.N_LABELS, setup.K)
-    return rounded(shares.select("qid", F.posexplode("p_knn").alias("label", "p")))
+    return rounded(shares.select("qid", F.posexplode_outer("p_knn").alias("label", "p")))
 
 
 def _per_query(spark, sf):
@@ -312,13 +313,13 @@ def centroid_scores_softmax(spark, sf):
     scored = classify.model_probabilities(
         setup.model_scores(setup.embedding_splits(spark, sf)), setup.N_LABELS
     )
-    return rounded(scored.select("id", F.posexplode("p_model").alias("label", "p")))
+    return rounded(scored.select("id", F.posexplode_outer("p_model").alias("label", "p")))
 
 
 @query
 def uniform_probabilities(spark, sf):
     rows = setup.embeddings(spark, sf)
-    return rounded(rows.select("id", F.posexplode(uniform_scores(setup.N_LABELS)).alias("label", "p")))
+    return rounded(rows.select("id", F.posexplode_outer(uniform_scores(setup.N_LABELS)).alias("label", "p")))
 
 
 @query
@@ -487,7 +488,7 @@ def _train_rows(spark, sf):
 
 @query
 def extractive_class_summary(spark, sf):
-    train = stage_table(_train_rows(spark, sf))
+    train = tables.spread_small_scan(stage_table(_train_rows(spark, sf)))
     counted = features.term_frequencies(train, "text", setup.STOP_WORDS)
     vocabulary = features.fitted(features.tfidf_fit(counted))
     rows = stage_table(features.tfidf_transform(counted, vocabulary, ["id", "label"]))
@@ -529,4 +530,4 @@ def materialise_embeddings(spark, sf):
     compute = lambda: setup.embeddings(spark, sf)
     tables.materialise_embeddings(spark, path, compute)
     saved = tables.materialise_embeddings(spark, path, compute)
-    return rounded(saved.select("id", "label", F.posexplode(F.col("embedding").cast("array<double>")).alias("pos", "value")))
+    return rounded(saved.select("id", "label", F.posexplode_outer(F.col("embedding").cast("array<double>")).alias("pos", "value")))

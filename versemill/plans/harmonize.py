@@ -24,6 +24,7 @@ from versemill.operators.features import (
 from versemill.operators.sampling import balance_classes, dedup_keep_first, stratified_split
 from versemill.session import stage_table
 from versemill.sources.config import SourceConfig
+from versemill.sources.tables import spread_small_scan
 
 POOL_KEY = ("src", "id")
 ROW_KEY = ("src", "id", "draw")
@@ -115,7 +116,7 @@ def encode(
     key_cols: Sequence[str] = ROW_KEY,
 ) -> EncodedData:
     """G9 encoding: both vocabularies are fitted on the train split and applied to all rows."""
-    staged = stage_table(rows, partition_by=("split",))
+    staged = spread_small_scan(stage_table(rows, partition_by=("split",)))
     counted = term_frequencies(staged, "text", stop_words)
     terms = fitted(tfidf_fit(counted.where(F.col("split") == "train"), max_features))
     words = fitted(token_vocabulary(staged.where(F.col("split") == "train"), "text", vocabulary_size))

@@ -20,7 +20,7 @@ from versemill.operators.sampling import stratified_split
 from versemill.plans.harmonize import RawSource, clean_pool, harmonize
 from versemill.session import stage_table
 from versemill.sources.config import SourceConfig
-from versemill.sources.tables import scan_source
+from versemill.sources.tables import scan_source, spread_small_scan
 
 K = 5
 N_LABELS = 10
@@ -56,12 +56,13 @@ CONVERSATIONS = SourceConfig(
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_source(spark, f"{sf_dir}/documents.parquet", 0, F.col("doc_id")).drop("doc_id")
+    raw = scan_source(spark, f"{sf_dir}/documents.parquet", 0, F.col("doc_id")).drop("doc_id")
+    return spread_small_scan(raw)
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.shiftleft(F.col("conv_id"), TURN_BITS) + F.col("turn")
-    return scan_source(spark, f"{sf_dir}/conversations.parquet", 1, key)
+    return spread_small_scan(scan_source(spark, f"{sf_dir}/conversations.parquet", 1, key))
 
 
 def judged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

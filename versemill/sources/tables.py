@@ -37,6 +37,16 @@ def scan_source(
     return raw.withColumns({"src": F.lit(src).cast("int"), "id": row_key.cast("long")})
 
 
+def spread_small_scan(df: DataFrame, key: str = "id") -> DataFrame:
+    """Rows spread over all task slots when the files give fewer splits than there are slots.
+
+    Regular expressions over text are processor-bound, and one small file would keep a
+    single core busy. A large table has more splits than slots and passes untouched.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots, key) if df.rdd.getNumPartitions() < slots else df
+
+
 def write_splits(df: DataFrame, path: str) -> None:
     """One table, one folder per split; an absent split simply has no folder."""
     df.write.mode("overwrite").partitionBy("split").parquet(path)
