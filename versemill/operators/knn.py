@@ -41,6 +41,7 @@ MAX_PIVOTS = 1024
 # each block meets fewer batches, so it is as large as a task can hold with ease.
 BLOCK_BYTES = 64 * 1024 * 1024
 PAIR_BUDGET = 4_000_000
+MAX_TASKS = 50_000
 REL_TOLERANCE = 1e-6
 
 
@@ -364,6 +365,9 @@ def knn_join(
     prefixed ``n_`` (carry a label here; fetch text afterwards with
     :func:`attach_neighbor_metadata`). Ties go to the smaller id. A corpus smaller than
     ``k`` gives fewer rows. Zero vectors have cosine distance 1 to everything.
+
+    Planning reads the corpus twice and the queries once before the join reads them, so
+    both should be tables (:func:`versemill.session.stage_table`), not long plans.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {METRICS}")
@@ -429,10 +433,14 @@ def knn_join(
         columns += [q.column(n) for n in left_names] + [c.column(n) for n in right_names]
         return pa.table(columns, names=names)
 
+    # About one group per task: a full group is minutes of work, so a fixed number of
+    # shuffle partitions would leave most of a large cluster idle.
+    tasks = int(min(MAX_TASKS, max(1, (layout.blocks * layout.batches).sum())))
     candidates = (
         placed_left.drop("groups")
+        .repartition(tasks, "group")
         .groupBy("group")
-        .cogroup(placed_right.drop("groups").groupBy("group"))
+        .cogroup(placed_right.drop("groups").repartition(tasks, "group").groupBy("group"))
         .applyInArrow(search, out_schema)
     )
     return _ranked(candidates, k, query_cols, corpus_cols)

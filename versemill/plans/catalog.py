@@ -17,6 +17,7 @@ from versemill.functions.vectors import uniform_scores
 from versemill.operators import classify, cleaning, features, knn, metrics, report, sampling
 from versemill.plans import setup
 from versemill.plans.harmonize import ROW_KEY, encode
+from versemill.plans.search import search_texts
 from versemill.session import stage_table, staging_root
 from versemill.sources import tables
 
@@ -495,6 +496,16 @@ def extractive_class_summary(spark, sf):
     return report.extractive_class_summary(train, rows, vocabulary, stop_words=setup.STOP_WORDS)
 
 
+@query
+def text_search(spark, sf):
+    """Every held-out text of the pool against its train texts."""
+    pool = setup.pool(spark, sf).withColumn("id", F.concat_ws(":", F.col("src").cast("string"), F.col("id").cast("string")))
+    rows = tables.spread_small_scan(stage_table(sampling.stratified_split(pool.drop("src"))))
+    train, held = rows.where(F.col("split") == "train"), rows.where(F.col("split") != "train")
+    found = search_texts(held.select("id", "text"), train.select("id", "text", "label"), setup.K, setup.STOP_WORDS)
+    return rounded(found.select("qid", "rank", "nid", "distance", "n_label", "n_text"))
+
+
 # --- persisted tables ---------------------------------------------------------------
 
 

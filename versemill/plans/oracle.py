@@ -284,6 +284,7 @@ NARROW = {
     "leaderboard": "position",
     "explain_errors": "rank",
     "search_report": "rank",
+    "text_search": "rank",
     "materialise_embeddings": "pos",
 }
 
@@ -478,6 +479,27 @@ q AS (SELECT id FROM es JOIN documents ON doc_id = id WHERE split = 'eval' ORDER
 SELECT qid, left(a.text, 100) || '...' AS q_preview, nn.label AS q_label, rank, nid, round(distance, 6) AS distance,
   left(b.text, 100) || '...' AS preview, n_label
 FROM q JOIN nn ON qid = id JOIN documents a ON a.doc_id = qid LEFT JOIN documents b ON b.doc_id = nid""",
+        "text_search": f"""WITH {POOL},
+named AS (SELECT src || ':' || id AS id, text, label FROM pool),
+{split_sql('sp', 'named', ['id'])},
+{terms_sql('terms', 'sp', 'id, split')},
+train_terms AS (SELECT * FROM terms WHERE split = 'train'),
+{vocab_sql('train_terms', "(SELECT count(*) FROM sp WHERE split = 'train')")},
+cells AS (
+  SELECT id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 64 AS pos,
+    sum((1 + ln(tf)) * idf * CASE WHEN substr(md5(term), 9, 1) < '8' THEN 1 ELSE -1 END) AS x
+  FROM terms JOIN vocab USING (term) GROUP BY ALL
+),
+unit AS (SELECT id, pos, x / sqrt(sum(x * x) OVER (PARTITION BY id)) AS x FROM cells),
+dots AS (SELECT a.id AS qid, b.id AS nid, sum(a.x * b.x) AS s FROM unit a JOIN unit b USING (pos)
+  JOIN sp p ON p.id = a.id AND p.split <> 'train' JOIN sp t ON t.id = b.id AND t.split = 'train' GROUP BY ALL),
+nn AS (
+  SELECT q.id AS qid, c.id AS nid, c.label AS n_label, c.text AS n_text, 1 - coalesce(s, 0) AS distance,
+    row_number() OVER (PARTITION BY q.id ORDER BY 1 - coalesce(s, 0), c.id) AS rank
+  FROM (SELECT * FROM sp WHERE split <> 'train') q CROSS JOIN (SELECT * FROM sp WHERE split = 'train') c
+  LEFT JOIN dots ON dots.qid = q.id AND dots.nid = c.id QUALIFY rank <= {K}
+)
+SELECT qid, rank, nid, greatest(round(distance, 6), 0) AS distance, n_label, n_text FROM nn""",
         "class_pseudo_document": f"""WITH {KEYED}, {_pseudo('keyed')}
 SELECT label, count(*)::INTEGER AS n_docs, string_agg(text, ' ' ORDER BY sample_rank) AS text FROM sampled GROUP BY label""",
         "extractive_class_summary": f"""WITH {KEYED}, {_pseudo('keyed')}, {terms_sql('terms', 'keyed', 'id, label')},
