@@ -52,9 +52,21 @@ def clean_text(
     return df.withColumn("text", custom(F.col("text")))
 
 
-def drop_nulls(df: DataFrame) -> DataFrame:
-    """drop rows with a null or NaN in any column of the source."""
-    return df.dropna("any")
+def never_null(config: SourceConfig, apply_multilingual: bool = False) -> tuple[str, ...]:
+    """Columns that cleaning leaves without nulls: the text, where a built-in cleaner ran."""
+    cleaned = config.name == TAGGED_LYRICS_SOURCE or (
+        config.name == MULTILINGUAL_SOURCE and apply_multilingual
+    )
+    return ("text",) if cleaned else ()
+
+
+def drop_nulls(df: DataFrame, known: Sequence[str] = ()) -> DataFrame:
+    """drop rows with a null or NaN in any column of the source.
+
+    ``known`` names columns that cannot be null. The filter is moved below the projection
+    that computes its columns, so checking a cleaned text would clean it a second time.
+    """
+    return df.dropna("any", subset=[c for c in df.columns if c not in known])
 
 
 def map_genres(df: DataFrame, genre_map: Mapping[str, str], label2id: Mapping[str, int]) -> DataFrame:
@@ -105,7 +117,8 @@ def stage_audit(df: DataFrame, config: SourceConfig, custom: TextCleaner | None
         config.name,
         custom,
     )
-    checked = [c for c in prepared.columns if c not in ("_spoken", config.language_col)]
+    skipped = ("_spoken", config.language_col, *never_null(config))
+    checked = [c for c in prepared.columns if c not in skipped]
     types = dict(prepared.dtypes)
     present = reduce(
         lambda a, b: a & b,

@@ -9,7 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from versemill.functions.keys import DEFAULT_SEED
-from versemill.operators.cleaning import TextCleaner, drop_nulls, map_genres, normalised_source, union_sources
+from versemill.operators.cleaning import (
+    TextCleaner,
+    drop_nulls,
+    map_genres,
+    never_null,
+    normalised_source,
+    union_sources,
+)
 from versemill.operators.features import (
     MAX_FEATURES,
     SEQUENCE_LENGTH,
@@ -65,7 +72,8 @@ def clean_pool(
     frames = []
     for source in sources:
         prepared = normalised_source(source.table, source.config, source.cleaner, apply_multilingual)
-        labelled = map_genres(drop_nulls(prepared), genre_map, label2id)
+        complete = drop_nulls(prepared, never_null(source.config, apply_multilingual))
+        labelled = map_genres(complete, genre_map, label2id)
         frames.append(labelled.select("src", "id", "text", "label"))
     pool = dedup_keep_first(union_sources(frames))
     return pool.where(F.col("text") != "") if drop_empty else pool
