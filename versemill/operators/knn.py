@@ -76,8 +76,10 @@ def searchable(vectors: np.ndarray, metric: str, is_query: bool) -> np.ndarray:
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    d2 = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
-    return np.maximum(d2, 0.0)
+    d2 = (-2.0 * a) @ b.T
+    d2 += (a * a).sum(axis=1)[:, None]
+    d2 += (b * b).sum(axis=1)[None, :]
+    return np.maximum(d2, 0.0, out=d2)
 
 
 def _scale(a: np.ndarray, b: np.ndarray) -> float:
@@ -327,10 +329,10 @@ def nearest_in_block(
     keep = min(k, len(corpus_vectors))
     for start in range(0, len(query_vectors), step):
         part = query_vectors[start : start + step]
-        approx = np.sqrt(squared_distances(part, corpus_vectors))
-        cut = np.partition(approx, keep - 1, axis=1)[:, keep - 1]
+        approx = squared_distances(part, corpus_vectors)
+        cut = np.sqrt(np.partition(approx, keep - 1, axis=1)[:, keep - 1])
         limit = np.minimum(cut, bounds[start : start + step]) + tolerance
-        q, c = np.nonzero(approx <= limit[:, None])
+        q, c = np.nonzero(approx <= (limit * limit)[:, None])
         if not len(q):
             continue
         distance = np.empty(len(q))

@@ -273,7 +273,7 @@ def neighbor_labels(spark, sf):
 
 @query
 def majority_vote(spark, sf):
-    return setup.knn_predictions(setup.embedding_splits(spark, sf))
+    return setup.knn_predictions(setup.neighbors_of(setup.embedding_splits(spark, sf), "euclidean"))
 
 
 @query
@@ -311,8 +311,9 @@ def knn_classify(spark, sf):
 
 @query
 def centroid_scores_softmax(spark, sf):
+    splits = setup.embedding_splits(spark, sf)
     scored = classify.model_probabilities(
-        setup.model_scores(setup.embedding_splits(spark, sf)), setup.N_LABELS
+        setup.model_scores(setup.part(splits, "test"), splits), setup.N_LABELS
     )
     return rounded(scored.select("id", F.posexplode_outer("p_model").alias("label", "p")))
 
@@ -325,26 +326,31 @@ def uniform_probabilities(spark, sf):
 
 @query
 def hybrid_classify(spark, sf):
-    blended = classify.hybrid_classify(setup.blend_inputs(setup.embedding_splits(spark, sf)), 0.5)
-    return blended.select("id", "y_true", "y_pred")
+    splits = setup.embedding_splits(spark, sf)
+    inputs = setup.blend_inputs(splits, setup.held_out_neighbors(splits))
+    return classify.hybrid_classify(inputs, 0.5).select("id", "split", "y_true", "y_pred")
+
 
+def _alpha_metrics(splits, neighbors):
+    by = ["split", "alpha_pos", "alpha"]
+    return metrics.evaluate(setup.swept(splits, neighbors), by, range(setup.N_LABELS))
 
-def _alpha_metrics(splits, split="test"):
-    return metrics.evaluate(setup.swept(splits, split), ["alpha_pos", "alpha"], range(setup.N_LABELS))
+
+def _test_alphas(splits, neighbors):
+    return _alpha_metrics(splits, neighbors).where(F.col("split") == "test").drop("split")
 
 
 @query
 def alpha_sweep(spark, sf):
     splits = setup.embedding_splits(spark, sf)
-    parts = [
-        _alpha_metrics(splits, name).select(F.lit(name).alias("split"), "*") for name in ("eval", "test")
-    ]
-    return rounded(parts[0].unionByName(parts[1]).select("split", "alpha", "accuracy", "macro_f1"))
+    scores = _alpha_metrics(splits, setup.held_out_neighbors(splits))
+    return rounded(scores.select("split", "alpha", "accuracy", "macro_f1"))
 
 
 @query
 def best_alpha(spark, sf):
-    return rounded(report.best_alpha(_alpha_metrics(setup.embedding_splits(spark, sf))))
+    splits = setup.embedding_splits(spark, sf)
+    return rounded(report.best_alpha(_test_alphas(splits, setup.held_out_neighbors(splits))))
 
 
 @query
@@ -381,7 +387,7 @@ def prediction_registry(spark, sf):
 
 @query
 def evaluate_metrics(spark, sf):
-    return rounded(metrics.evaluate(setup.registry(setup.embedding_splits(spark, sf)), ["model"], range(10)))
+    return rounded(metrics.evaluate(setup.registry(setup.embedding_splits(spark, sf)), ["model"], range(setup.N_LABELS)))
 
 
 @query
@@ -408,14 +414,14 @@ def confusion_matrix(spark, sf):
 
 @query
 def compare_models(spark, sf):
-    scores = metrics.evaluate(setup.registry(setup.embedding_splits(spark, sf)), ["model"], range(10))
+    scores = metrics.evaluate(setup.registry(setup.embedding_splits(spark, sf)), ["model"], range(setup.N_LABELS))
     return rounded(metrics.compare_models(scores, "teacher", "student"))
 
 
 @query
 def compare_alphas_with_teacher(spark, sf):
     splits = setup.embedding_splits(spark, sf)
-    alphas = _alpha_metrics(splits).select("alpha", "accuracy", "macro_f1")
+    alphas = _test_alphas(splits, setup.held_out_neighbors(splits)).select("alpha", "accuracy", "macro_f1")
     teacher = metrics.evaluate(setup.model_predictions(splits))
     return rounded(metrics.compare_with(alphas, teacher, ["alpha"]))
 
@@ -433,8 +439,9 @@ def degradation_by_class(spark, sf):
 @query
 def leaderboard(spark, sf):
     splits = setup.embedding_splits(spark, sf)
-    models = metrics.evaluate(setup.registry(splits), ["model"], range(10))
-    return rounded(report.leaderboard(models, _alpha_metrics(splits), setup.MODELS))
+    neighbors = setup.held_out_neighbors(splits)
+    models = metrics.evaluate(setup.registry(splits, neighbors), ["model"], range(setup.N_LABELS))
+    return rounded(report.leaderboard(models, _test_alphas(splits, neighbors), setup.MODELS))
 
 
 @query
@@ -448,7 +455,7 @@ def correct_incorrect_counts(spark, sf):
 
 
 def _examples(spark, sf, correct):
-    predictions = stage_table(setup.knn_predictions(setup.embedding_splits(spark, sf)))
+    predictions = stage_table(QUERIES["majority_vote"](spark, sf))
     return report.prediction_examples(predictions, setup.texts(spark, sf), correct)
 
 

@@ -420,7 +420,7 @@ SELECT count(*) AS n_queries, round(avg(n_hits / {K}::DOUBLE), 6) AS precision_a
         "centroid_scores_softmax": f"""WITH {VECTORS}, {centroid_sql('t')}
 SELECT id, c AS label, round(p, 6) AS p FROM t_p WHERE split = 'test'""",
         "uniform_probabilities": f"SELECT vec_id AS id, unnest(range(0, {N_LABELS})) AS label, round(1 / {N_LABELS}::DOUBLE, 6) AS p FROM embeddings",
-        "hybrid_classify": f"WITH {BLEND} SELECT id, y_true, y_pred FROM sweep WHERE alpha = 0.5 AND split = 'test'",
+        "hybrid_classify": f"WITH {BLEND} SELECT id, split, y_true, y_pred FROM sweep WHERE alpha = 0.5",
         "alpha_sweep": f"""WITH {BLEND}, s2 AS (SELECT alpha || '/' || split AS run, * FROM sweep), {scores_sql('a', 's2', 'run')}
 SELECT DISTINCT split, alpha, {_round('accuracy', 'macro_f1')} FROM a JOIN s2 USING (run)""",
         "best_alpha": f"WITH {ALPHA_TEST} SELECT alpha, round(macro_f1, 6) AS macro_f1 FROM a"

@@ -110,6 +110,11 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("id", "text")
 
 
+def held_out(splits: DataFrame) -> DataFrame:
+    """Evaluation and test rows together, still telling their split."""
+    return splits.where(F.col("split") != "train")
+
+
 def neighbors_of(
     splits: DataFrame, metric: str, split: str = "test", query_cols: Sequence[str] = ("label",)
 ) -> DataFrame:
@@ -118,45 +123,64 @@ def neighbors_of(
     )
 
 
-def model_scores(splits: DataFrame, split: str = "test", dims: int | None = None) -> DataFrame:
-    """``id, label, scores`` of the centroid model that stands in for a trained network."""
+def held_out_neighbors(splits: DataFrame) -> DataFrame:
+    """Neighbours of all held-out rows from one join, written once: votes and blends share them."""
+    found = knn_join(
+        held_out(splits),
+        part(splits, "train"),
+        K,
+        "euclidean",
+        query_cols=["split", "label"],
+        corpus_cols=["label"],
+    )
+    return stage_table(found)
+
+
+def model_scores(rows: DataFrame, splits: DataFrame, dims: int | None = None) -> DataFrame:
+    """``rows`` with ``scores`` of the centroid model that stands in for a trained network."""
     centroids = class_centroids(part(splits, "train"), dims)
-    return centroid_scores(part(splits, split), centroids, N_LABELS, dims=dims).select("id", "label", "scores")
+    return centroid_scores(rows, centroids, N_LABELS, dims=dims).drop("embedding")
 
 
-def model_predictions(splits: DataFrame, split: str = "test", dims: int | None = None) -> DataFrame:
+def model_predictions(splits: DataFrame, dims: int | None = None) -> DataFrame:
     rounded = F.transform("scores", lambda s: F.round(s, 12))
-    return model_scores(splits, split, dims).select(
+    return model_scores(part(splits, "test"), splits, dims).select(
         "id", F.col("label").alias("y_true"), argmax_class(rounded).alias("y_pred")
     )
 
 
-def knn_predictions(splits: DataFrame, split: str = "test") -> DataFrame:
-    return majority_vote(neighbors_of(splits, "euclidean", split), ["label"]).select(
+def knn_predictions(neighbors: DataFrame) -> DataFrame:
+    return majority_vote(neighbors, ["label"]).select(
         F.col("qid").alias("id"), F.col("label").alias("y_true"), "y_pred"
     )
 
 
-def blend_inputs(splits: DataFrame, split: str = "test") -> DataFrame:
-    """``id, y_true, p_knn, p_model``: neighbours and scores, each computed once."""
-    votes = vote_distribution(neighbor_lists(neighbors_of(splits, "euclidean", split, ())), N_LABELS, K)
-    scores = model_probabilities(model_scores(splits, split), N_LABELS)
-    return votes.withColumnRenamed("qid", "id").join(scores, "id").select(
-        "id", F.col("label").alias("y_true"), "p_knn", "p_model"
+def blend_inputs(splits: DataFrame, neighbors: DataFrame) -> DataFrame:
+    """``id, split, y_true, p_knn, p_model`` of all held-out rows."""
+    votes = vote_distribution(neighbor_lists(neighbors), N_LABELS, K).withColumnRenamed("qid", "id")
+    scores = model_probabilities(model_scores(held_out(splits), splits), N_LABELS)
+    return votes.join(scores, "id").select(
+        "id", "split", F.col("label").alias("y_true"), "p_knn", "p_model"
     )
 
 
-def swept(splits: DataFrame, split: str = "test") -> DataFrame:
-    return alpha_sweep(blend_inputs(splits, split)).select("alpha_pos", "alpha", "id", "y_true", "y_pred")
+def swept(splits: DataFrame, neighbors: DataFrame) -> DataFrame:
+    rows = alpha_sweep(blend_inputs(splits, neighbors))
+    return rows.select("alpha_pos", "alpha", "split", "id", "y_true", "y_pred")
 
 
 MODELS = ("knn_embeddings", "teacher", "student")
 
 
-def registry(splits: DataFrame) -> DataFrame:
+def registry(splits: DataFrame, neighbors: DataFrame | None = None) -> DataFrame:
+    """Test predictions of all models; ``neighbors`` of the held-out rows if already there."""
+    if neighbors is None:
+        tested = neighbors_of(splits, "euclidean")
+    else:
+        tested = neighbors.where(F.col("split") == "test")
     return prediction_registry(
         {
-            "knn_embeddings": knn_predictions(splits),
+            "knn_embeddings": knn_predictions(tested),
             "teacher": model_predictions(splits),
             "student": model_predictions(splits, dims=STUDENT_DIMS),
         }
