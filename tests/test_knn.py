@@ -66,6 +66,7 @@ def test_equals_brute_force(spark, metric, shape):
 def test_many_blocks_and_batches(spark, monkeypatch):
     rng = np.random.default_rng(3)
     monkeypatch.setattr(knn, "BLOCK_BYTES", 8 * 8 * 40)
+    monkeypatch.setattr(knn, "PAIR_BUDGET", 100)
     corpus, queries = rng.normal(size=(500, 8)), rng.normal(size=(130, 8))
     corpus[100:300] = corpus[100]
     q, c = frame(spark, queries, 1000), frame(spark, corpus)
@@ -146,6 +147,14 @@ def test_precision_and_recall_with_absent_class(spark):
     assert (rows[1]["precision_at_k"], rows[1]["recall_at_k"], rows[1]["n_relevant"]) == (0.0, 0.0, 0)
 
 
+def test_slices_cover_all_rows_once(monkeypatch):
+    monkeypatch.setattr(knn, "PAIR_BUDGET", 10)
+    for lengths in ([3, 3, 3, 3, 3], [0, 0, 0], [25, 1, 25], [10, 10]):
+        parts = list(knn._slices(np.array(lengths)))
+        assert [i for s in parts for i in range(s.start, s.stop)] == list(range(len(lengths)))
+        assert all(sum(lengths[s]) < 10 + max(lengths) + 1 for s in parts)
+
+
 def test_unknown_metric(spark):
     with pytest.raises(ValueError):
         knn.knn_join(frame(spark, [[1]]), frame(spark, [[1]]), 1, "manhattan")

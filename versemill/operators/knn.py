@@ -266,6 +266,19 @@ def _list_array(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64)))
 
 
+def _slices(lengths: np.ndarray) -> Iterator[slice]:
+    """Row ranges whose lists hold about ``PAIR_BUDGET`` values in all, so no batch outgrows a task."""
+    share = (np.cumsum(lengths) - lengths) // PAIR_BUDGET
+    starts = np.flatnonzero(np.diff(share, prepend=-1))
+    for start, stop in zip(starts, [*starts[1:], len(lengths)]):
+        yield slice(int(start), int(stop))
+
+
+def _counting_within(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, .. inside each of consecutive runs of the given lengths."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 def _corpus_groups(layout: CellLayout, vector_at: int):
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = layout.first_group
@@ -274,15 +287,15 @@ def _corpus_groups(layout: CellLayout, vector_at: int):
             if not len(vectors):
                 continue
             cell, _ = _nearest_cell(vectors, layout.pivots)
-            spread = batch.column(0).to_numpy()
-            block = spread % layout.blocks[cell]
             width = layout.batches[cell]
-            start = first[cell] + block * width
-            within = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-            groups = _list_array(np.repeat(start, width) + within, width)
-            yield pa.RecordBatch.from_arrays(
-                [groups, *batch.columns[1:]], names=["groups", *batch.schema.names[1:]]
-            )
+            start = first[cell] + batch.column(0).to_numpy() % layout.blocks[cell] * width
+            for rows in _slices(width):
+                w = width[rows]
+                groups = _list_array(np.repeat(start[rows], w) + _counting_within(w), w)
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                yield pa.RecordBatch.from_arrays(
+                    [groups, *part.columns[1:]], names=["groups", *batch.schema.names[1:]]
+                )
 
     return assign
 
@@ -295,18 +308,18 @@ def _query_groups(layout: CellLayout, vector_at: int):
             if not len(vectors):
                 continue
             bound, wanted = layout.reach(vectors)
-            row, cell = np.nonzero(wanted)
-            spread = batch.column(0).to_numpy()[row]
-            width = layout.batches[cell]
-            share = spread % width
-            n_blocks = layout.blocks[cell]
-            within = np.arange(n_blocks.sum()) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
-            values = np.repeat(first[cell] + share, n_blocks) + within * np.repeat(width, n_blocks)
-            lengths = np.bincount(row, weights=n_blocks, minlength=len(vectors)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [_list_array(values, lengths), pa.array(bound), *batch.columns[1:]],
-                names=["groups", "bound", *batch.schema.names[1:]],
-            )
+            spread = batch.column(0).to_numpy()
+            lengths = wanted @ layout.blocks
+            for rows in _slices(lengths):
+                row, cell = np.nonzero(wanted[rows])
+                width, n_blocks = layout.batches[cell], layout.blocks[cell]
+                start = first[cell] + spread[rows][row] % width
+                values = np.repeat(start, n_blocks) + _counting_within(n_blocks) * np.repeat(width, n_blocks)
+                part = batch.slice(rows.start, rows.stop - rows.start)
+                yield pa.RecordBatch.from_arrays(
+                    [_list_array(values, lengths[rows]), pa.array(bound[rows]), *part.columns[1:]],
+                    names=["groups", "bound", *batch.schema.names[1:]],
+                )
 
     return assign
 
