@@ -49,10 +49,43 @@ def stage_table(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     DataFrame the table survives a lost executor, and unlike a checkpoint it stays
     columnar: each branch still prunes columns, filters and partitions.
     """
-    spark = df.sparkSession
-    path = f"{staging_root(spark)}/versemill/{uuid.uuid4().hex}"
+    return _write_and_scan(df, f"{staging_root(df.sparkSession)}/versemill/{uuid.uuid4().hex}", partition_by)
+
+
+def _write_and_scan(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> DataFrame:
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Staging:
+    """Owner of staged tables: leaving the block deletes what :meth:`table` wrote inside it.
+
+    For algorithms that need several intermediate tables and leave one final result, which
+    is staged outside the block (or written by the caller before the block ends).
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._folder = f"{staging_root(spark)}/versemill/{uuid.uuid4().hex}"
+        self._count = 0
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.drop(self._folder)
+
+    def path(self) -> str:
+        """A folder of this owner that nothing has used yet."""
+        self._count += 1
+        return f"{self._folder}/{self._count}"
+
+    def table(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        return _write_and_scan(df, self.path(), partition_by)
+
+    def drop(self, path: str) -> None:
+        target = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(target, True)
