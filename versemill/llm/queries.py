@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import exact
+from versemill.llm import bpe, exact, mix
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,23 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@query
+def op1_mix_sources(spark, sf):
+    return mix.mixed_sizes(documents(spark, sf))
+
+
+@query
+def op2_bpe_round_trip(spark, sf):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode_documents(documents(spark, sf).select("doc_id", "text"), path, drop_text=True)
+    return bpe.decode_documents(encoded, path).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op4_exact_dedup(spark, sf):
     return exact.exact_groups(documents(spark, sf))
