@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from versemill.llm.words import byte_offsets, slices
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 PIECE_CHARS = 1 << 20
 # Fixed value: how byte-level BPE splits a text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -77,7 +77,10 @@ class Tokenizer:
             sound.append(sound[left] and sound[right] and self._side_by_side(left, right, token))
         self.by_bytes = {as_bytes(name): token for token, name in enumerate(names) if sound[token]}
         self.size = {token: len(text) for text, token in self.by_bytes.items()}
-        self.longest = max(map(len, self.by_bytes))
+        # Tokens that end in the same two bytes are no longer than this.
+        self.reach: dict[bytes, int] = {}
+        for text in self.by_bytes:
+            self.reach[text[-2:]] = max(self.reach.get(text[-2:], 1), len(text))
         self.find_words = regex.compile(WORD_PATTERN).findall
         self.split_specials = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
         self._pairs: dict[tuple[int, int], bool] = {}
@@ -112,7 +115,7 @@ class Tokenizer:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of each distinct word, by a depth-first walk over the words' trie."""
-        by_bytes, longest = self.by_bytes, self.longest
+        by_bytes, reach, may_follow = self.by_bytes, self.reach, self._may_follow
         found: dict[str, bytes] = {}
         path, last = b"", []  # last[i]: last token of the encoding of path[:i + 1]
         for word, text in sorted(((w, w.encode()) for w in words), key=lambda x: x[1]):
@@ -123,9 +126,9 @@ class Tokenizer:
                 shared += 1
             del last[shared:]
             for end in range(shared + 1, len(text) + 1):
-                for start in range(max(0, end - longest), end):
+                for start in range(max(0, end - reach.get(text[max(end - 2, 0) : end], 1)), end):
                     token = by_bytes.get(text[start:end])
-                    if token is not None and (not start or self._may_follow(last[start - 1], token)):
+                    if token is not None and (not start or may_follow(last[start - 1], token)):
                         last.append(token)
                         break
             path = text

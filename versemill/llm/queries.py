@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import bpe, exact, mix
+from versemill.llm import bpe, exact, mix, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,18 @@ def op2_bpe_round_trip(spark, sf):
     )
 
 
+@query
+def op3_warc_round_trip(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return warc.round_trip(pages).select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"),
+    )
+
+
 @query
 def op4_exact_dedup(spark, sf):
     return exact.exact_groups(documents(spark, sf))
