@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import bpe, exact, mix, warc
+from versemill.llm import bpe, exact, minhash, mix, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,11 @@ SELECT doc_id,
        text_sha256
 FROM texts
 """
+
+
+@query
+def op5_minhash_near_dedup(spark, sf):
+    classes = minhash.near_classes(documents(spark, sf), size=4)
+    return classes.select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
