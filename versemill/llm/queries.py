@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import bpe, exact, minhash, mix, warc
+from versemill.llm import bpe, exact, minhash, mix, quality, substring, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,21 @@ def op5_minhash_near_dedup(spark, sf):
     return classes.select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+@query
+def op6_substring_dedup(spark, sf):
+    return substring.dedup_substrings(documents(spark, sf))
+
+
+@query
+def op7_quality_classifier(spark, sf):
+    docs = documents(spark, sf)
+    network = quality.fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    scored = quality.score_documents(docs.select("doc_id", "text"), network, out_col="score", keep_text=False)
+    return scored.select(
+        "doc_id",
+        quality.is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
