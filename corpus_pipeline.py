@@ -1,10 +1,22 @@
-"""The corpus pipeline: every stage reads the rows its predecessor kept."""
+"""The corpus pipeline: every stage reads the rows its predecessor kept.
+
+Quality classifier, exact dedup, near-dedup, mixing to target weights, BPE encoding. All stages
+but the last return the columns of ``documents``; the last adds the token ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from versemill.llm import bpe, exact, minhash, mix, quality
+
 
-from versemill.llm import exact
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is below the threshold go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.drop_low_quality(docs, quality.fit_quality(docs, labels))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,7 +24,36 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact_copies(docs)
 
 
-STAGES = [("exact dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five-word shingles, similarity 0.8)."""
+    return minhash.drop_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target weight asks for, shuffled by shard."""
+    return mix.mix(docs)
+
+
+def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``ids``: packed token ids; ``n_tokens``; ``decoded_equal``: decoding gives the text back."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    decoded = bpe.decode_documents(bpe.encode_documents(docs, path), path)
+    return decoded.withColumns(
+        {
+            "n_tokens": F.floor(F.octet_length("ids") / 4),
+            "decoded_equal": F.col("decoded") == F.coalesce("text", F.lit("")),
+        }
+    ).drop("decoded", "text")
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", bpe_encode),
+]
+#: SQL cannot express the classifier; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import bpe, exact, minhash, mix, quality, substring, warc
+from versemill.llm import bpe, exact, licenses, minhash, mix, quality, secrets, substring, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,42 @@ def op7_quality_classifier(spark, sf):
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op8_embedding_near_dedup(spark, sf):
+    linked = vectors.linked_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    return linked.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+@query
+def op9_secret_scan(spark, sf):
+    found = secrets.scan_secrets(documents(spark, sf).select("doc_id", "text"), keep_text=False)
+    count = lambda kind: F.size(secrets.of_kind(F.col("spans"), kind)).cast("long")
+    base = secrets.spans_text(secrets.of_kind(F.col("spans"), *secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in secrets.BASE_KINDS],
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op10_license_scan(spark, sf):
+    found = licenses.scan_licenses(documents(spark, sf).select("doc_id", "text"), keep_text=False)
+    blocks = F.filter("blocks", lambda b: b["containment"] >= licenses.CONTAINMENT)
+    named = lambda *arrays: F.array_join(F.array_sort(F.array_distinct(F.concat(*arrays))), ",")
+    labels = F.transform("places", lambda p: p["label"])
+    n_base = F.size("places").cast("long")
+    best = F.coalesce(F.array_max(F.transform("blocks", lambda b: b["containment"])), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_base.alias("n_base"),
+        F.array_min(F.transform("places", lambda p: p["word"])).alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["word"])).alias("last_word"),
+        named(labels).alias("base_labels"),
+        named(labels, F.transform(blocks, lambda b: b["label"])).alias("labels"),
+        F.when(n_base > 0, F.lit(1.0)).otherwise(best).alias("score"),
+    )
