@@ -15,7 +15,8 @@ encoded words up to ``CACHED_WORDS`` and then starts anew. Texts far longer than
 
 Defined results: a null text is encoded as the empty text; empty texts have no ids; special
 tokens written in a text are encoded as themselves, as the tokenizers library does by default.
-Repeated rows give repeated results, other columns are carried along.
+Repeated rows give repeated results, other columns are carried along; a column that has the
+name of the result already is replaced.
 """
 
 from __future__ import annotations
@@ -206,8 +207,7 @@ def _append(batch: pa.RecordBatch, name: str, values: pa.Array, kind: pa.DataTyp
 
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids", drop_text: bool = False) -> DataFrame:
     """``docs`` with ``out_col``: the ids of its text, packed as little-endian unsigned 32-bit numbers."""
-    if out_col in docs.columns:
-        raise ValueError(f"column {out_col!r} is already there")
+    docs = docs.drop(out_col)
     fields = [f for f in docs.schema if not (drop_text and f.name == text_col)]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,8 +222,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", out_col
 
 def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``encoded`` with ``out_col``: the text that the packed ids stand for, special tokens written out."""
-    if out_col in encoded.columns:
-        raise ValueError(f"column {out_col!r} is already there")
+    encoded = encoded.drop(out_col)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tokenizer(path)

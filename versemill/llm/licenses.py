@@ -14,7 +14,8 @@ and one row a notice word reaches the driver.
 
 Defined results: a null text has no words; a text shorter than a block is one block; a text
 without places and blocks has no labels and the score of its best block short of the threshold,
-or 0. Repeated rows give repeated results, other columns are carried along.
+or 0. Repeated rows give repeated results, other columns are carried along; columns that have the
+name of a result already are replaced.
 """
 
 from __future__ import annotations
@@ -150,8 +151,7 @@ def scan_licenses(
     """``docs`` with ``n_words``, ``places array<struct<label, word>>`` of the phrases by word, and
     ``blocks array<struct<label, word, containment>>``, candidates of the join with the best first."""
     added = ("n_words", "places", "blocks")
-    if clash := [c for c in added if c in docs.columns]:
-        raise ValueError(f"columns {clash} are already there")
+    docs = docs.drop(*added)
     plain = Notices.of(texts, containment)
     notices = plain.ordered(word_frequencies(docs, plain, text_col))
     wanted = [(_hashes(phrase), label) for phrase, label in phrases.items()]

@@ -351,18 +351,20 @@ def drawn(rows: DataFrame, sources: DataFrame, blocks: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **parameters) -> DataFrame:
     """The mix itself: the columns of ``docs``, once for each draw, shard by shard, shuffled inside."""
-    rows = sized(docs, id_col, text_col, source_col)
+    # Packed, so that no column of theirs can be taken for one of the plan's.
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_x_row")
+    rows = sized(docs, id_col, text_col, source_col).select("_x_source", "_x_size", "_x_key", packed)
     with Staging(docs.sparkSession) as staging:
-        sources, blocks = mix_plan(staging.table(rows.select("_x_source", "_x_size", "_x_key")), **parameters)
+        sources, blocks = mix_plan(staging.table(rows.drop("_x_row")), **parameters)
     seed = parameters.get("seed", SEED)
-    draws = drawn(rows, sources, blocks).select(*docs.columns, "_x_key", F.explode("draws").alias("_x_draw"))
+    draws = drawn(rows, sources, blocks).select("_x_row", "_x_key", F.explode("draws").alias("_x_draw"))
     order = F.xxhash64(F.lit(seed), F.col("_x_draw.shard"), F.col("_x_draw.pass"), "_x_key")
     return (
         draws.withColumn("_x_shard", F.col("_x_draw.shard"))
         .withColumn("_x_order", order)
         .repartition("_x_shard")
         .sortWithinPartitions("_x_shard", "_x_order")
-        .select(*docs.columns)
+        .select("_x_row.*")
     )
 
 

@@ -15,7 +15,8 @@ and one table of fixed size (``BUCKETS`` x ``DIMENSIONS``) reaches the driver, a
 Defined results: a null text is empty; an empty text has all figures zero and gets the score
 the network gives them; without labelled rows, or with one label only, every score is the
 smoothed share of label 1. A null id is never held out. Labels without a value are not used.
-Repeated rows get the same score; other columns are carried along by :func:`score_documents`.
+Repeated rows get the same score; other columns are carried along by :func:`score_documents`,
+which replaces a column that has the name of the score already.
 """
 
 from __future__ import annotations
@@ -228,8 +229,7 @@ def fit_quality(
 
 def score_documents(docs: DataFrame, network: Network, text_col: str = "text", out_col: str = "quality_score", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``out_col``, the probability of label 1."""
-    if out_col in docs.columns:
-        raise ValueError(f"column {out_col!r} is already there")
+    docs = docs.drop(out_col)
     fields = [f for f in docs.schema if keep_text or f.name != text_col]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ are run on; they never change what is found.
 
 Defined results: a null text is empty and has no spans. Spans are code points, end exclusive;
 ``novel`` spans do not overlap those of the patterns. Repeated rows give repeated results,
-other columns are carried along.
+other columns are carried along; a column that has the name of the result already is replaced.
 """
 
 from __future__ import annotations
@@ -122,8 +122,7 @@ _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int6
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", out_col: str = "spans", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``out_col``: ``array<struct<kind, start, end>>`` by start, then kind."""
-    if out_col in docs.columns:
-        raise ValueError(f"column {out_col!r} is already there")
+    docs = docs.drop(out_col)
     fields = [f for f in docs.schema if keep_text or f.name != text_col]
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     order = {kind: i for i, kind in enumerate((*BASE_KINDS, NOVEL))}

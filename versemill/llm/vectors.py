@@ -121,13 +121,14 @@ def fit_quantisers(classes: DataFrame, sample_rows: int) -> dict[int, Quantiser]
     draw = F.pmod(F.xxhash64(F.lit(8), "vector"), F.lit(1 << 30)) < int(share * (1 << 30))
     table = classes.where(draw).select(F.size("vector").alias("size"), "vector").toArrow()
     sizes = table["size"].to_numpy()
-    flat = table["vector"].combine_chunks()
-    vectors = np.asarray(flat.flatten(), np.float64) if len(sizes) else np.zeros(0)
+    if not len(sizes):
+        return {}
+    vectors = np.asarray(table["vector"].combine_chunks().flatten(), np.float64)
     ends = np.append(0, np.cumsum(sizes))
     models = {}
     for size in sorted(set(sizes.tolist())):
         rows = np.array([vectors[ends[i] : ends[i + 1]] for i in np.flatnonzero(sizes == size)])
-        rows = rows[np.lexsort(rows.T[::-1])] / 1.0
+        rows = rows[np.lexsort(rows.T[::-1])]  # the order of tasks must not matter
         unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
         models[size] = fit_quantiser(unit, int(min(max(1, round(n**0.5 / 2)), max(1, len(unit) // 8))))
     return models
