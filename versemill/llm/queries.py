@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versemill.llm import bpe, exact, licenses, minhash, mix, quality, secrets, substring, vectors, warc
+from versemill.llm.sql import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
 
 
 def query(fn: Query) -> Query:
@@ -58,20 +59,6 @@ def op4_exact_dedup(spark, sf):
     return exact.exact_groups(documents(spark, sf))
 
 
-SQL["op4_exact_dedup"] = r"""
-WITH texts AS (
-  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
-  FROM documents
-)
-SELECT doc_id,
-       min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
-       count(*) OVER (PARTITION BY text_sha256) AS group_size,
-       doc_id = min(doc_id) OVER (PARTITION BY text_sha256) AS kept,
-       text_sha256
-FROM texts
-"""
-
-
 @query
 def op5_minhash_near_dedup(spark, sf):
     classes = minhash.near_classes(documents(spark, sf), size=4)
