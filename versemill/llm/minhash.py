@@ -5,12 +5,13 @@ smallest and the largest shingle are kept, so that each hash evaluation gives tw
 agree between two sets with a probability equal to their similarity. ``ROWS`` values make a
 band; two sets of similarity 0.8 miss each other in all bands about once in two million times.
 
-Documents with equal sets become one class before anything is paired. Classes that share a
-band are compared in rounds, against a few members of the band at first and against more and
-more of them later, and only while the band still holds classes that are not connected: a
-band whose members are all similar is settled by its first few centres, a band of dissimilar
-members ends up compared in full. No pair is skipped that could connect two components, and no
-band is listed as pairs at once. A band's members are rows of a join, never one group.
+Documents with equal sets become one class before anything is paired. The classes of a band
+are compared with one of them first, the pivot, and then in rounds with more and more of the
+others, the centres, while the band still holds classes that are not connected: a band whose
+members are all similar is settled by its first few centres, a band of dissimilar members ends
+up compared in full but for pairs that cannot be linked. Those are told by their sizes and by
+their distances to the pivot. No pair is skipped that could connect two components. A band's
+members are rows of a join, never one group.
 
 Defined results: a null text has no words; fewer words than a shingle make one shingle; an
 empty set is linked with nothing; nulls among the ids sort last. Repeated rows are linked like
@@ -36,7 +37,7 @@ ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
 SHINGLE = 5
 THRESHOLD = 80  # of 100
-FIRST_CENTRES = 4
+FIRST_CENTRES, MORE_CENTRES = 16, 16
 LAST_ID = 2**63 - 1
 
 _rng = np.random.default_rng(5)
@@ -107,51 +108,70 @@ def document_signatures(docs: DataFrame, id_col: str, text_col: str, size: int)
     return rows.mapInArrow(sign, schema)
 
 
-def _confirmed(pairs: DataFrame, size: int, threshold: int) -> DataFrame:
-    """``a, b`` of those ``pairs`` (``a, b, text_a, text_b``) that are similar enough on full sets."""
+def _similarities(pairs: DataFrame, size: int) -> DataFrame:
+    """``a, b, similarity`` of ``pairs`` (``a, b, text_a, text_b``), on full sets."""
 
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text_a"):
             sets_a = shingle_sets(batch.column("text_a"), size)
             sets_b = shingle_sets(batch.column("text_b"), size)
-            linked = []
+            shared = np.zeros(batch.num_rows, np.int64)
+            union = np.zeros(batch.num_rows, np.int64)
             for i, (one, two) in enumerate(zip(sets_a, sets_b)):
                 both = np.concatenate([one, two])
                 both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                if shared and 100 * shared >= threshold * (len(both) - shared):
-                    linked.append(i)
-            picked = batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
-            yield picked
+                shared[i] = (both[1:] == both[:-1]).sum()
+                union[i] = len(both) - shared[i]
+            columns = [batch.column("a"), batch.column("b"), pa.array(shared), pa.array(union)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "shared", "total"])
 
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(confirm, "a bigint, b bigint")
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a bigint, b bigint, shared bigint, total bigint")
 
 
-def _round_pairs(members: DataFrame, labels: DataFrame | None, low: int, high: int, threshold: int) -> DataFrame:
-    """Pairs of unconnected classes that share a band, one of them among its centres of this round.
+def _alike(one: str, two: str, threshold: int) -> Column:
+    """Whether sets of these sizes can be similar enough at all."""
+    return 100 * F.least(one, two) >= threshold * F.greatest(one, two)
 
-    A class is a centre of a band of ``n`` members while its number in [0, 1) is below
-    ``centres / n``; this round takes the centres from ``low`` to ``high``.
-    """
-    if labels is None:
-        held = members.withColumn("label", F.col("id"))
-        active = held
-    else:
-        held = members.join(labels.select("id", "root"), "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
-        spread = held.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
-        active = held.where(F.col("n") > low).join(spread.select("band"), "band")
-    number = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("n")
-    centres = active.where((number >= low) & (number < high))
-    c = centres.select("band", F.col("id").alias("c"), F.col("label").alias("c_label"), F.col("size").alias("c_size"))
-    alike = 100 * F.least("size", "c_size") >= threshold * F.greatest("size", "c_size")
+
+def _pivot_pairs(members: DataFrame, threshold: int) -> DataFrame:
+    """Every member of a band with the band's pivot, its smallest member."""
     return (
-        active.join(c, "band")
-        .where((F.col("label") != F.col("c_label")) & alike)
-        .select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"))
+        members.where((F.col("id") != F.col("pivot")) & _alike("size", "pivot_size", threshold))
+        .select(F.col("pivot").alias("a"), F.col("id").alias("b"))
         .distinct()
     )
 
 
+def _open_members(members: DataFrame, compared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of bands that hold several components, with ``label`` and ``apart``, the distance to the pivot."""
+    held = members.join(labels, "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
+    spread = held.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l < m")
+    apart = compared.select(F.col("a").alias("pivot"), F.col("b").alias("id"), (1 - F.col("shared") / F.col("total")).alias("apart"))
+    return held.join(spread.select("band"), "band").join(apart, ["pivot", "id"], "left").withColumn(
+        "apart", F.when(F.col("id") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("apart"))
+    )
+
+
+def _cross_pairs(members: DataFrame, low: int, high: int, threshold: int) -> DataFrame:
+    """Pairs of unconnected members of a band, one of them among its centres of this round, each pair once.
+
+    A member is a centre of a band of ``n`` while its number in [0, 1) is below ``centres / n``;
+    this round takes the centres from ``low`` to ``high``. The distance of sets obeys the
+    triangle inequality, so members whose distances to the pivot differ by more than a link's
+    distance cannot be linked. A pair is taken in the first band that it shares.
+    """
+    number = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("n")
+    names = ["id", "label", "size", "apart", "bands"]
+    c = members.where((number >= low) & (number < high)).select("band", *[F.col(x).alias(f"c_{x}") for x in names])
+    reach = 1 - threshold / 100 + 1e-9
+    near = F.coalesce(F.abs(F.col("apart") - F.col("c_apart")) <= reach, F.lit(True))
+    first = F.array_position(F.zip_with("bands", "c_bands", lambda x, y: x == y), True) == F.col("place") + 1
+    once = (number >= high) | ((number >= low) & (F.col("id") < F.col("c_id")))
+    wanted = (F.col("label") != F.col("c_label")) & _alike("size", "c_size", threshold) & near & once & first
+    pairs = members.join(c, "band").where(wanted)
+    return pairs.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """``row, doc_id, text_key, n_shingles, component_id, first_row`` for every row of ``docs``.
 
@@ -168,9 +188,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         named = rows.join(classes.select("id"), rows["row"] == classes["id"], "left_semi")
         bands = staging.table(
-            named.select(F.col("row").alias("id"), F.col("n_shingles").alias("size"), F.explode("bands").alias("band"))
+            named.select(F.col("row").alias("id"), F.col("n_shingles").alias("size"), F.posexplode("bands").alias("place", "band"))
         )
-        shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1")
         members = staging.table(bands.join(shared, "band"))
         candidates = staging.table(members.select("id").distinct())
         where = rows.join(broadcast_if_small(candidates), rows["row"] == candidates["id"]).select("id", "doc_id", "text_key")
@@ -181,18 +201,28 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         texts = staging.table(
             texts.join(broadcast_if_small(staging.table(where)).alias("w"), same_row).select("id", "text")
         )
-        links, labels, low, high = None, None, 0, FIRST_CENTRES
-        most = members.agg(F.max("n")).first()[0] or 0
-        while low < most:
-            pairs = staging.table(_round_pairs(members, labels, low, high, threshold))
-            with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+
+        def compared(pairs: DataFrame) -> DataFrame:
+            with_a = staging.table(pairs).join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             with_b = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-            found = staging.table(_confirmed(with_b, size, threshold))
-            links = found if links is None else links.unionByName(found)
+            return staging.table(_similarities(with_b, size))
+
+        linked = (F.col("shared") > 0) & (100 * F.col("shared") >= threshold * F.col("total"))
+        sizes = staging.table(members.where("id = pivot").select("pivot", F.col("size").alias("pivot_size")).distinct())
+        to_pivot = compared(_pivot_pairs(members.join(sizes, "pivot"), threshold))
+        links = to_pivot.where(linked).select("a", "b")
+        labels = connected_components(links)
+        signed = staging.table(rows.join(candidates, rows["row"] == candidates["id"]).select("id", "bands"))
+        low, high = 0, FIRST_CENTRES
+        while True:
+            held = staging.table(_open_members(members.where(F.col("n") > max(low, 2)), to_pivot, labels))
+            most = held.agg(F.max("n")).first()[0]
+            if most is None:
+                break
+            found = compared(_cross_pairs(held.join(signed, "id"), low, high if high < most else most + 1, threshold))
+            links = links.unionByName(found.where(linked).select("a", "b"))
             labels = connected_components(links)
-            low, high = high, 4 * high
-        if labels is None:
-            labels = spark.createDataFrame([], "id bigint, root bigint")
+            low, high = high, MORE_CENTRES * high
         # Classes of one row that are linked with nothing need no lookup.
         rooted = classes.join(labels, "id", "left").where("copies > 1 OR root IS NOT NULL")
         rooted = rooted.select(*set_key, F.coalesce("root", "id").alias("root"))
