@@ -87,7 +87,9 @@ def test_samples(spark):
     assert shuffled == [r["id"] for r in sampling.shuffle_rows(df.repartition(5)).collect()]
 
 
-def test_too_many_classes_fail_loudly(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "MAX_CLASSES", 2)
-    with pytest.raises(Exception, match="more than 2 classes"):
-        sampling.stratified_split(classes(spark, {0: 3, 1: 3, 2: 3})).collect()
+def test_many_classes_split_with_or_without_a_broadcast(spark, monkeypatch):
+    df = classes(spark, {c: 3 for c in range(300)})
+    split = {tuple(r) for r in sampling.stratified_split(df).select("id", "label", "split").collect()}
+    monkeypatch.setattr(sampling, "broadcast_if_small", lambda table: table)
+    assert split == {tuple(r) for r in sampling.stratified_split(df).select("id", "label", "split").collect()}
+    assert len(split) == 900

@@ -18,6 +18,7 @@ from versemill.functions.binding import bind
 from versemill.functions.vectors import argmax_class, as_doubles, blend, dot, l2_norm, softmax, uniform_scores
 from versemill.operators.knn import knn_join, majority_vote
 from versemill.operators.metrics import evaluate
+from versemill.session import stage_table
 
 # Blend weights of the sweep, and the number of training passes.
 ALPHAS = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -83,7 +84,12 @@ class LinearTextClassifier(Model):
 
 
 def with_sparse_vectors(rows: DataFrame, n_features: int) -> DataFrame:
-    """``term_ids, weights`` as a sparse ``features`` vector, without leaving the JVM."""
+    """``term_ids, weights`` as a sparse ``features`` vector, without leaving the JVM.
+
+    Rows that have ``features`` already pass: stage the result where several fits read it.
+    """
+    if "features" in rows.columns:
+        return rows
     shape = T.StructType([T.StructField("v", VectorUDT())])
     parts = F.struct(
         F.lit(0).alias("type"),
@@ -98,12 +104,15 @@ def learning_curve(
     train: DataFrame,
     evaluation: DataFrame | None,
     n_features: int,
-    passes: Sequence[int] = (1, 2, 4, 8, EPOCHS),
+    passes: Sequence[int] = range(1, EPOCHS + 1),
 ) -> DataFrame:
-    """``iteration, train_acc, val_acc`` at a growing number of passes.
+    """``iteration, train_acc, val_acc`` after each number of passes.
 
-    Without evaluation rows ``val_acc`` is null.
+    Without evaluation rows ``val_acc`` is null. Feature vectors are built once and staged.
     """
+    train = stage_table(with_sparse_vectors(train, n_features))
+    if evaluation is not None:
+        evaluation = stage_table(with_sparse_vectors(evaluation, n_features))
     lines = []
     for n in passes:
         model = LinearTextClassifier(n_features, max_iter=n).fit(train)
@@ -123,29 +132,37 @@ def learning_curve(
     return stacked.groupBy("iteration").agg(pick("train_acc").alias("train_acc"), pick("val_acc").alias("val_acc"))
 
 
-def class_centroids(train: DataFrame, dims: int | None = None) -> DataFrame:
+def class_centroids(train: DataFrame) -> DataFrame:
     """``label, centroid``: mean vector per class, aggregated map-side in the JVM."""
-    vector = as_doubles(F.col("embedding"))
-    if dims is not None:
-        vector = F.slice(vector, 1, dims)
-    mean = Summarizer.mean(array_to_vector(vector))
+    mean = Summarizer.mean(array_to_vector(as_doubles(F.col("embedding"))))
     return train.groupBy("label").agg(vector_to_array(mean).alias("centroid"))
 
 
 def centroid_scores(
-    df: DataFrame, centroids: DataFrame, n_classes: int, scale: float = 10.0, dims: int | None = None
+    df: DataFrame, centroids: DataFrame, n_classes: int, scale: float = 10.0, metric: str = "cosine"
 ) -> DataFrame:
-    """Adds ``scores``: ``scale`` x cosine to each class centroid, by class position.
+    """Adds ``scores`` by class position: ``scale`` x cosine to each class centroid, or, with
+    ``metric="euclidean"``, the negative distance to it.
 
     Stands in for a trained network's class scores. The centroids travel as one row
-    (classes x dimensions numbers); a class without a centroid scores 0.
+    (classes x dimensions numbers); a class without a centroid scores 0 and, by distance,
+    below all others.
     """
+    if metric not in ("cosine", "euclidean"):
+        raise ValueError(f"unknown metric {metric!r}")
     table = centroids.agg(
         F.map_from_entries(F.collect_list(F.struct("label", "centroid"))).alias("by_class")
     ).scalar()
     vector = as_doubles(F.col("embedding"))
-    if dims is not None:
-        vector = F.slice(vector, 1, dims)
+    if metric == "euclidean":
+        classes = F.sequence(F.lit(0), F.lit(n_classes - 1))
+
+        def closeness(v: Column, c: Column) -> Column:
+            apart = F.zip_with(F.try_element_at("_centers", c), v, lambda x, y: x - y)
+            return F.coalesce(-l2_norm(apart), F.lit(float("-inf")))
+
+        distances = bind(vector, lambda v: F.transform(classes, lambda c: closeness(v, c)))
+        return df.withColumn("_centers", table).withColumn("scores", distances).drop("_centers")
 
     def cosines(v: Column, length: Column) -> Column:
         def cosine(center: Column) -> Column:

@@ -20,7 +20,6 @@ MAX_FEATURES = 20_000
 SEQUENCE_LENGTH = 128
 # End of fixed values.
 PAD_ID, UNKNOWN_ID, FIRST_TOKEN_ID = 0, 1, 2
-TOKEN_VOCABULARY = 50_000
 
 
 def term_frequencies(df: DataFrame, text_col: str = "text", stop_words: Sequence[str] = ()) -> DataFrame:
@@ -126,18 +125,34 @@ def sparse_to_long(rows: DataFrame, key_cols: Sequence[str] = ("id",)) -> DataFr
 
 
 def token_vocabulary(
-    train: DataFrame, text_col: str = "text", size: int = TOKEN_VOCABULARY
+    train: DataFrame, text_col: str = "text", size: int | None = None
 ) -> DataFrame:
-    """Word ids by frequency in ``train`` (``term, token_id``); 0 and 1 are reserved."""
+    """Word ids by frequency in ``train`` (``term, token_id``); 0 and 1 are reserved.
+
+    All words get an id unless the caller limits their number. Ids are exact ranks: words are
+    ranked inside slices of equal frequency and equal first letters, and shifted by the sizes
+    of the slices before; only the slice sizes meet in one task.
+    """
     counted = (
         train.select(F.explode_outer(word_tokens(F.col(text_col))).alias("term"))
         .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_total"))
     )
-    by_rank = Window.partitionBy(F.lit(0)).orderBy(F.desc("n_total"), "term")
-    return top_terms(counted, size).select(
-        "term", (F.row_number().over(by_rank) - 1 + FIRST_TOKEN_ID).alias("token_id")
+    if size is not None:
+        counted = top_terms(counted, size)
+    sliced = counted.withColumn("_start", F.substring("term", 1, 2))
+    earlier = Window.partitionBy(F.lit(0)).orderBy(F.desc("n_total"), "_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        sliced.groupBy("n_total", "_start")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("n_total", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    inside = Window.partitionBy("n_total", "_start").orderBy("term")
+    return (
+        sliced.withColumn("_place", F.row_number().over(inside))
+        .join(offsets, ["n_total", "_start"])
+        .select("term", (F.col("_offset") + F.col("_place") - 1 + FIRST_TOKEN_ID).cast("int").alias("token_id"))
     )
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from versemill.functions.vectors import vote_shares
 from versemill.operators.joins import lookup_join
-from versemill.operators.sampling import class_lookup
+from versemill.operators.sampling import with_class_values
 from versemill.session import stage_table
 
 # Task functions travel with their code, so executors need not have this package installed.
@@ -60,6 +60,26 @@ def matrix_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(rows, -1)
 
 
+def check_vectors(queries: DataFrame, corpus: DataFrame, vector_col: str) -> None:
+    """Raises when the two sides are not finite vectors of one length; one aggregate a side."""
+    vector = F.col(vector_col)
+    lengths = set()
+    for side, df in (("queries", queries), ("corpus", corpus)):
+        bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+        found = df.agg(
+            F.count_if(vector.isNull()).alias("null vectors"),
+            F.count_if(bad).alias("vectors with null or non-finite numbers"),
+            F.min(F.size(vector)).alias("low"),
+            F.max(F.size(vector)).alias("high"),
+        ).first()
+        for what in ("null vectors", "vectors with null or non-finite numbers"):
+            if found[what]:
+                raise ValueError(f"the {side} hold {found[what]} {what}")
+        lengths |= {n for n in (found["low"], found["high"]) if n is not None}
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of different length: {min(lengths)} to {max(lengths)}")
+
+
 def searchable(vectors: np.ndarray, metric: str, is_query: bool) -> np.ndarray:
     """Vectors whose Euclidean distance orders like ``metric``.
 
@@ -374,18 +394,22 @@ def knn_join(
     query_cols: Sequence[str] = (),
     corpus_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """For each query its ``k`` nearest corpus rows, nearest first.
+    """For each query its ``k`` nearest corpus rows, nearest first.
 
     Columns ``qid, rank, nid, distance``, then ``query_cols`` as named and ``corpus_cols``
     prefixed ``n_`` (carry a label here; fetch text afterwards with
     :func:`attach_neighbor_metadata`). Ties go to the smaller id. A corpus smaller than
-    ``k`` gives fewer rows. Zero vectors have cosine distance 1 to everything.
+    ``k`` gives fewer rows. Zero vectors have cosine distance 1 to everything. Null vectors,
+    vectors that hold null or non-finite numbers, and vectors of different lengths raise a
+    ``ValueError`` that tells how many there are: no row is left out in silence.
 
-    Planning reads the corpus twice and the queries once before the join reads them, so
+    Planning runs jobs: it checks both sides, counts the corpus, draws pivots, summarises the
+    cells (two reads) and counts the queries' targets before the join reads both sides, so
     both should be tables (:func:`versemill.session.stage_table`), not long plans.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {METRICS}")
+    check_vectors(queries, corpus, vector_col)
     spread = F.xxhash64
     carried = [F.col(c).alias(f"n_{c}") for c in corpus_cols]
     right = corpus.select(
@@ -519,14 +543,13 @@ def precision_recall_at_k(
 
     ``class_sizes`` is ``(label, n)``; a class missing from it counts as empty (recall 0).
     """
-    sizes = class_lookup(class_sizes, "label", "n")
+    sizes = class_sizes.select(F.col("label").alias(query_label), F.col("n").alias("_n"))
     hits = neighbors.groupBy("qid", query_label).agg(
         F.count_if(F.col(neighbor_label) == F.col(query_label)).alias("n_hits")
     )
-    total = F.coalesce(F.try_element_at(F.col("_sizes"), F.col(query_label))["n"], F.lit(0))
     return (
-        hits.withColumn("_sizes", sizes)
-        .withColumn("n_relevant", total)
+        with_class_values(hits, sizes, query_label, "_n")
+        .withColumn("n_relevant", F.coalesce("_n", F.lit(0)))
         .select(
             "qid",
             query_label,

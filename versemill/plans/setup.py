@@ -25,7 +25,6 @@ from versemill.sources.tables import scan_source, spread_small_scan
 
 K = 5
 N_LABELS = 10
-STUDENT_DIMS = 32
 TURN_BITS = 20
 STOP_WORDS = ("the", "of", "and", "in", "to", "is", "it", "on", "la", "le", "der", "die")
 
@@ -62,7 +61,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.shiftleft(F.col("conv_id"), TURN_BITS) + F.col("turn")
+    turn_fits = (F.col("turn") >= 0) & (F.col("turn") < 1 << TURN_BITS)
+    fits = turn_fits & (F.col("conv_id") >= 0) & (F.col("conv_id") < 1 << (63 - TURN_BITS))
+    # Two turns must never share a key: what does not fit fails.
+    key = F.when(
+        F.coalesce(fits, F.lit(True)), F.shiftleft(F.col("conv_id"), TURN_BITS) + F.col("turn")
+    ).otherwise(F.raise_error(F.lit("conversation or turn number out of range")).cast("long"))
     return spread_small_scan(scan_source(spark, f"{sf_dir}/conversations.parquet", 1, key))
 
 
@@ -83,9 +87,14 @@ def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_pool(raw_sources(spark, sf_dir), GENRE_MAP, LABEL2ID)
 
 
+def key_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and labels of the deduplicated pool."""
+    return clean_pool(raw_sources(spark, sf_dir), GENRE_MAP, LABEL2ID, keep_text=False)
+
+
 def pool_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys and labels of the deduplicated pool, written once for the ranks over it."""
-    return stage_table(pool(spark, sf_dir).select("src", "id", "label"))
+    """The same, written once for the ranks over it."""
+    return stage_table(key_pool(spark, sf_dir))
 
 
 def harmonized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,8 +106,15 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All vectors with their split, written once and read by split afterwards."""
-    return stage_table(stratified_split(embeddings(spark, sf_dir)), partition_by=("split",))
+    """All vectors with their split, written once and read by split afterwards.
+
+    Votes and scores are per class position, so a label outside them must not pass.
+    """
+    splits = stage_table(stratified_split(embeddings(spark, sf_dir)), partition_by=("split",))
+    found = splits.agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
+    if found["high"] is not None and not 0 <= found["low"] <= found["high"] < N_LABELS:
+        raise ValueError(f"labels {found['low']} to {found['high']} are outside 0 to {N_LABELS - 1}")
+    return splits
 
 
 def part(splits: DataFrame, name: str) -> DataFrame:
@@ -107,7 +123,7 @@ def part(splits: DataFrame, name: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text that goes with a vector of the same id."""
-    return documents(spark, sf_dir).select("id", "text")
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").alias("id"), "text")
 
 
 def held_out(splits: DataFrame) -> DataFrame:
@@ -136,15 +152,16 @@ def held_out_neighbors(splits: DataFrame) -> DataFrame:
     return stage_table(found)
 
 
-def model_scores(rows: DataFrame, splits: DataFrame, dims: int | None = None) -> DataFrame:
+def model_scores(rows: DataFrame, splits: DataFrame, metric: str = "cosine") -> DataFrame:
     """``rows`` with ``scores`` of the centroid model that stands in for a trained network."""
-    centroids = class_centroids(part(splits, "train"), dims)
-    return centroid_scores(rows, centroids, N_LABELS, dims=dims).drop("embedding")
+    centroids = class_centroids(part(splits, "train"))
+    return centroid_scores(rows, centroids, N_LABELS, metric=metric).drop("embedding")
 
 
-def model_predictions(splits: DataFrame, dims: int | None = None) -> DataFrame:
+def model_predictions(splits: DataFrame, metric: str = "cosine") -> DataFrame:
+    """The teacher ranks centroids by cosine, the student by Euclidean distance."""
     rounded = F.transform("scores", lambda s: F.round(s, 12))
-    return model_scores(part(splits, "test"), splits, dims).select(
+    return model_scores(part(splits, "test"), splits, metric).select(
         "id", F.col("label").alias("y_true"), argmax_class(rounded).alias("y_pred")
     )
 
@@ -182,6 +199,6 @@ def registry(splits: DataFrame, neighbors: DataFrame | None = None) -> DataFrame
         {
             "knn_embeddings": knn_predictions(tested),
             "teacher": model_predictions(splits),
-            "student": model_predictions(splits, dims=STUDENT_DIMS),
+            "student": model_predictions(splits, "euclidean"),
         }
     )
