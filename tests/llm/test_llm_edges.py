@@ -139,12 +139,14 @@ def test_near_copies(docs, empty):
     assert minhash.drop_near_copies(empty).count() == minhash.near_classes(empty).count() == 0
 
 
-def test_near_copies_in_a_group_without_a_common_centre(spark):
+@pytest.mark.parametrize("block_bytes", [minhash.BLOCK_BYTES, 60_000])
+def test_near_copies_in_a_group_without_a_common_centre(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", block_bytes)
     rng = np.random.default_rng(4)
     base, texts = [f"w{i}" for i in range(200)], []
     for d in range(80):
         words = list(base)
-        for at in rng.choice(200, 4, replace=False):
+        for at in rng.choice(200, 1 + d % 7, replace=False):
             words[at] = f"x{d}y{at}"
         texts.append((d, " ".join(words)))
     docs = spark.createDataFrame(rows_of(texts), SCHEMA)

@@ -106,6 +106,24 @@ def test_min_max_values_agree_as_often_as_sets_are_similar():
     assert abs(agree - 700 / 900) < 0.1
 
 
+@pytest.mark.parametrize("light", [0, 4, 1000])
+def test_shared_sizes(monkeypatch, light):
+    monkeypatch.setattr(minhash, "LIGHT_COLUMN", light)
+    monkeypatch.setattr(minhash, "DENSE_COLUMNS", 7)
+    rng = np.random.default_rng(3)
+    one, two = ([np.unique(rng.integers(0, 90, n).astype(np.uint64)) for n in rng.integers(1, 60, k)] for k in (9, 14))
+    want = [[len(np.intersect1d(a, b)) for b in two] for a in one]
+    assert minhash.shared_sizes(one, two).tolist() == want
+
+
+def test_spanning_links():
+    linked = np.zeros((7, 7), bool)
+    for a, b in [(0, 3), (3, 5), (5, 0), (1, 6)]:
+        linked[a, b] = linked[b, a] = True
+    assert sorted(minhash.spanning_links(linked)) == [(0, 3), (0, 5), (1, 6)]
+    assert minhash.spanning_links(linked[:0, :0]) == []
+
+
 def test_novelty_tells_random_strings_from_names():
     around = "def load_settings(path): return read_configuration_file(path)\n" * 5
     assert secrets.novelty("read_configuration_file", around, around) < 0.5

@@ -6,12 +6,13 @@ agree between two sets with a probability equal to their similarity. ``ROWS`` va
 band; two sets of similarity 0.8 miss each other in all bands about once in two million times.
 
 Documents with equal sets become one class before anything is paired. The classes of a band
-are compared with one of them first, the pivot, and then in rounds with more and more of the
-others, the centres, while the band still holds classes that are not connected: a band whose
-members are all similar is settled by its first few centres, a band of dissimilar members ends
-up compared in full but for pairs that cannot be linked. Those are told by their sizes and by
-their distances to the pivot. No pair is skipped that could connect two components. A band's
-members are rows of a join, never one group.
+are compared with one of them first, the pivot. Where a band then still holds classes that are
+not connected, a small band is compared pair by pair, and a larger one block against block: its
+members are dealt to blocks of about ``BLOCK_BYTES``, and a task compares two blocks on their
+full sets at once and returns a spanning forest of the links it finds. Only pairs that cannot
+be linked, told by their sizes and by their distances to the pivot, and pairs that are
+connected already are passed over. The pairs of a large band are never rows, and no task holds
+more than two blocks of it.
 
 Defined results: a null text has no words; fewer words than a shingle make one shingle; an
 empty set is linked with nothing; nulls among the ids sort last. Repeated rows are linked like
@@ -37,7 +38,9 @@ ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
 SHINGLE = 5
 THRESHOLD = 80  # of 100
-FIRST_CENTRES, MORE_CENTRES = 16, 16
+SMALL_BAND = 16
+BLOCK_BYTES, ROW_BYTES = 2 << 20, 1024  # a text counts with ROW_BYTES more, which bounds the rows of a block
+DENSE_COLUMNS, LIGHT_COLUMN = 4096, 32
 LAST_ID = 2**63 - 1
 
 _rng = np.random.default_rng(5)
@@ -152,24 +155,99 @@ def _open_members(members: DataFrame, compared: DataFrame, labels: DataFrame) ->
     )
 
 
-def _cross_pairs(members: DataFrame, low: int, high: int, threshold: int) -> DataFrame:
-    """Pairs of unconnected members of a band, one of them among its centres of this round, each pair once.
+def _cross_pairs(members: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of unconnected members of small bands, each pair once.
 
-    A member is a centre of a band of ``n`` while its number in [0, 1) is below ``centres / n``;
-    this round takes the centres from ``low`` to ``high``. The distance of sets obeys the
-    triangle inequality, so members whose distances to the pivot differ by more than a link's
-    distance cannot be linked. A pair is taken in the first band that it shares.
+    The distance of sets obeys the triangle inequality, so members whose distances to the pivot
+    differ by more than a link's distance cannot be linked. A pair is taken in the first band
+    that it shares.
     """
-    number = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("n")
     names = ["id", "label", "size", "apart", "bands"]
-    c = members.where((number >= low) & (number < high)).select("band", *[F.col(x).alias(f"c_{x}") for x in names])
+    c = members.select("band", *[F.col(x).alias(f"c_{x}") for x in names])
     reach = 1 - threshold / 100 + 1e-9
     near = F.coalesce(F.abs(F.col("apart") - F.col("c_apart")) <= reach, F.lit(True))
     first = F.array_position(F.zip_with("bands", "c_bands", lambda x, y: x == y), True) == F.col("place") + 1
-    once = (number >= high) | ((number >= low) & (F.col("id") < F.col("c_id")))
-    wanted = (F.col("label") != F.col("c_label")) & _alike("size", "c_size", threshold) & near & once & first
-    pairs = members.join(c, "band").where(wanted)
-    return pairs.select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
+    wanted = (F.col("id") < F.col("c_id")) & (F.col("label") != F.col("c_label")) & _alike("size", "c_size", threshold) & near & first
+    return members.join(c, "band").where(wanted).select(F.col("id").alias("a"), F.col("c_id").alias("b")).distinct()
+
+
+def shared_sizes(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``one`` with every set of ``two``.
+
+    Values in few sets are counted entry by entry, the others as products of 0/1 matrices of
+    ``DENSE_COLUMNS`` values at a time.
+    """
+    rows = [np.repeat(np.arange(len(sets)), [len(s) for s in sets]) for sets in (one, two)]
+    values, columns = np.unique(np.concatenate([*one, *two]), return_inverse=True)
+    columns = np.split(columns, [len(rows[0])])
+    often = [np.bincount(c, minlength=len(values)) for c in columns]
+    both = often[0] * often[1]
+    light = (both > 0) & (both <= LIGHT_COLUMN)
+    at, by = [(r[light[c]], c[light[c]]) for r, c in zip(rows, columns)]
+    order = np.argsort(by[1], kind="stable")
+    first = np.searchsorted(by[1][order], at[1])
+    times = often[1][at[1]]
+    within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    cells = np.repeat(at[0], times) * len(two) + by[0][order][np.repeat(first, times) + within]
+    shared = np.bincount(cells, minlength=len(one) * len(two)).reshape(len(one), len(two))
+    number = np.cumsum(both > LIGHT_COLUMN) - 1
+    heavy = int((both > LIGHT_COLUMN).sum())
+    for low in range(0, heavy, DENSE_COLUMNS):
+        parts = []
+        for sets, r, c in zip((one, two), rows, columns):
+            picked = (both[c] > LIGHT_COLUMN) & (number[c] >= low) & (number[c] < low + DENSE_COLUMNS)
+            part = np.zeros((len(sets), min(DENSE_COLUMNS, heavy - low)), np.float32)
+            part[r[picked], number[c[picked]] - low] = 1
+            parts.append(part)
+        shared += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+    return shared
+
+
+def spanning_links(linked: np.ndarray) -> list[tuple[int, int]]:
+    """A forest over the nodes of a symmetric link matrix, as pairs (root, other node)."""
+    unseen = linked.any(axis=1)
+    forest = []
+    for root in np.flatnonzero(unseen).tolist():
+        if not unseen[root]:
+            continue
+        unseen[root] = False
+        waiting = [root]
+        while waiting:
+            found = np.flatnonzero(linked[waiting.pop()] & unseen).tolist()
+            unseen[found] = False
+            forest += [(root, x) for x in found]
+            waiting += found
+    return forest
+
+
+def _block_links(members: DataFrame, texts: DataFrame, size: int, threshold: int, staging: Staging) -> DataFrame:
+    """``a, b`` links that connect what the links of ``members`` (``band, id, label``) connect."""
+    weighed = staging.table(members.select("band", "id", "label").join(texts.select("id", "bytes"), "id"))
+    counts = weighed.groupBy("band").agg(F.ceil(F.sum(F.col("bytes") + ROW_BYTES) / BLOCK_BYTES).alias("n_blocks"))
+    block = F.pmod(F.xxhash64(F.lit(7), "id"), F.col("n_blocks"))
+    placed = weighed.join(broadcast_if_small(counts), "band").withColumn("block", block)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)).alias("other")
+    dealt = placed.select("band", "id", "label", "block", every).join(texts.select("id", "text"), "id")
+    dealt = dealt.select("band", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "id", "label", "text")
+
+    def compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        ids, labels, block = (table.column(c).to_numpy() for c in ("id", "label", "block"))
+        one, two = key[1].as_py(), key[2].as_py()
+        left, right = np.flatnonzero(block == one), np.flatnonzero(block == two)
+        forest = []
+        if len(left) and len(right) and (labels != labels[0]).any():
+            sets = [s for part in table.column("text").chunks for s in shingle_sets(part, size)]
+            sizes = np.array([len(s) for s in sets])
+            shared = shared_sizes([sets[i] for i in left], [sets[i] for i in right])
+            total = sizes[left][:, None] + sizes[right][None, :] - shared
+            hit = (100 * shared >= threshold * total) & (labels[left][:, None] != labels[right][None, :])
+            linked = np.zeros((len(ids), len(ids)), bool)
+            linked[np.ix_(left, right)] = hit
+            forest = spanning_links(linked | linked.T)
+        a, b = (ids[[x[i] for x in forest]].astype(np.int64) if forest else np.zeros(0, np.int64) for i in (0, 1))
+        return pa.table({"a": a, "b": b})
+
+    return dealt.groupBy("band", "one", "two").applyInArrow(compare, "a bigint, b bigint")
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -199,7 +277,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         )
         same_row = texts["doc_id"].eqNullSafe(F.col("w.doc_id")) & (texts["text_key"] == F.col("w.text_key"))
         texts = staging.table(
-            texts.join(broadcast_if_small(staging.table(where)).alias("w"), same_row).select("id", "text")
+            texts.join(broadcast_if_small(staging.table(where)).alias("w"), same_row).select("id", F.octet_length("text").alias("bytes"), "text")
         )
 
         def compared(pairs: DataFrame) -> DataFrame:
@@ -213,16 +291,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         links = to_pivot.where(linked).select("a", "b")
         labels = connected_components(links)
         signed = staging.table(rows.join(candidates, rows["row"] == candidates["id"]).select("id", "bands"))
-        low, high = 0, FIRST_CENTRES
-        while True:
-            held = staging.table(_open_members(members.where(F.col("n") > max(low, 2)), to_pivot, labels))
-            most = held.agg(F.max("n")).first()[0]
-            if most is None:
-                break
-            found = compared(_cross_pairs(held.join(signed, "id"), low, high if high < most else most + 1, threshold))
-            links = links.unionByName(found.where(linked).select("a", "b"))
-            labels = connected_components(links)
-            low, high = high, MORE_CENTRES * high
+        small = staging.table(_open_members(members.where(F.col("n").between(3, SMALL_BAND)), to_pivot, labels))
+        found = compared(_cross_pairs(small.join(signed, "id"), threshold))
+        links = links.unionByName(found.where(linked).select("a", "b"))
+        labels = connected_components(links)
+        large = staging.table(_open_members(members.where(F.col("n") > SMALL_BAND), to_pivot, labels))
+        links = links.unionByName(staging.table(_block_links(large, texts, size, threshold, staging)))
+        labels = connected_components(links)
         # Classes of one row that are linked with nothing need no lookup.
         rooted = classes.join(labels, "id", "left").where("copies > 1 OR root IS NOT NULL")
         rooted = rooted.select(*set_key, F.coalesce("root", "id").alias("root"))
