@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import bpe, exact, licenses, minhash, mix, quality, secrets, substring, vectors, warc
+from versemill.llm import bpe, exact, licenses, minhash, mix, quality, secrets, sharding, substring, vectors, warc
 from versemill.llm.sql import SQL
+from versemill.session import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,3 +123,23 @@ def op10_license_scan(spark, sf):
         named(labels, F.transform(blocks, lambda b: b["label"])).alias("labels"),
         F.when(n_base > 0, F.lit(1.0)).otherwise(best).alias("score"),
     )
+
+
+@query
+def op12_virtual_slots(spark, sf):
+    staging = Staging(spark)
+    maps = staging.path()
+    sharding.save_map(sharding.first_map(spark, sharding.SHARDS), maps)
+    sharding.save_map(sharding.grown_map(sharding.load_map(spark, maps)), maps)
+    now, later = (sharding.load_map(spark, maps, version) for version in (0, 1))
+    placed = sharding.placed_documents(documents(spark, sf), now, later, staging)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit(sharding.LAW).alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        "grown_shard",
+        "virtual_slot",
+    )
