@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.llm import bpe, exact, licenses, minhash, mix, quality, secrets, sharding, substring, vectors, warc
+from versemill.llm import bpe, exact, licenses, merkle, minhash, mix, quality, secrets, sharding, substring, trie, vectors, warc
 from versemill.llm.sql import SQL
 from versemill.session import Staging
 
@@ -125,6 +125,24 @@ def op10_license_scan(spark, sf):
     )
 
 
+@query
+def op11_merkle_manifest(spark, sf):
+    more_chars = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, 1).otherwise(0)
+    n_chars = F.col("n_chars").cast("decimal(20,0)") + more_chars
+    altered = merkle.record_digest("doc_id", "source", "lang", n_chars.cast("decimal(20,0)"), "text")
+    tampered = F.when((more_chars == 1) & F.col("n_chars").isNotNull(), altered)
+    found, root = merkle.manifest(documents(spark, sf), Staging(spark), more={"tampered": tampered})
+    folded = merkle.folded(F.coalesce("tampered", "digest"), F.col("segment"))
+    return found.select(
+        "doc_id",
+        merkle.as_hex(F.col("digest")).alias("leaf"),
+        merkle.as_hex(F.col("subroot")).alias("subroot"),
+        F.lit(root).alias("root"),
+        merkle.proof_digest(F.col("segment")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 @query
 def op12_virtual_slots(spark, sf):
     staging = Staging(spark)
@@ -143,3 +161,8 @@ def op12_virtual_slots(spark, sf):
         "grown_shard",
         "virtual_slot",
     )
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    return trie.conversation_trie(spark.read.parquet(f"{sf}/conversations.parquet"), Staging(spark))

@@ -169,7 +169,8 @@ def placed_documents(
     rows and are broadcast. The intermediate tables belong to ``staging``.
     """
     both = slot_map.select("virtual_slot", "shard").join(next_map.select("virtual_slot", F.col("shard").alias("grown_shard")), "virtual_slot")
-    held = records(docs, id_col, text_col).join(F.broadcast(both), "virtual_slot")
+    # Dealing by range reads its input twice; texts are read once.
+    held = staging.table(records(docs, id_col, text_col)).join(F.broadcast(both), "virtual_slot")
     return ranked(held, ["shard"], ["virtual_slot", "doc_id", "size", "text_crc32"], "place", staging)
 
 
