@@ -9,9 +9,11 @@ one token that ends there and may stand next to the last token of what precedes
 may stand side by side when no merge across their border would have come before the merges
 that built them.
 
-Encoding needs no shuffle: tasks encode the texts they read, slice by slice. A task remembers
-encoded words up to ``CACHED_WORDS`` and then starts anew. Texts far longer than
-``PIECE_CHARS`` are split into words piece by piece, between letters and a space.
+Encoding needs no shuffle: tasks encode the texts they read, slice by slice. A worker remembers
+encoded words up to ``CACHE_BYTES`` and tested pairs of tokens up to ``CACHED_PAIRS``, and then
+starts anew. Texts far longer than ``PIECE_CHARS`` are split into words piece by piece, between
+letters and a space. A round trip encodes and decodes in the same worker, so ids and decoded
+texts never wait for a second one; decoding alone loads only the bytes of the tokens.
 
 Defined results: a null text is encoded as the empty text; empty texts have no ids; special
 tokens written in a text are encoded as themselves, as the tokenizers library does by default.
@@ -21,6 +23,7 @@ name of the result already is replaced.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -34,7 +37,10 @@ from pyspark.sql import types as T
 
 from versemill.llm.words import byte_offsets, slices
 
-CACHED_WORDS = 600_000
+CACHE_BYTES = 96 << 20
+#: What a remembered word costs besides its characters and ids: two objects and their place.
+WORD_BYTES = 220
+CACHED_PAIRS = 300_000
 PIECE_CHARS = 1 << 20
 # Fixed value: how byte-level BPE splits a text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -69,8 +75,6 @@ class Tokenizer:
             names.append(left + right)
         self.ids = np.array([vocabulary[name] for name in names], "<u4")
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens") or ()}
-        self.token_bytes = {int(i): as_bytes(name) for i, name in zip(self.ids, names)}
-        self.token_bytes |= {i: content.encode() for content, i in self.specials.items()}
         # Tokens that encoding can never give are left out.
         sound = [True] * 256
         for token in range(256, len(names)):
@@ -84,8 +88,9 @@ class Tokenizer:
             self.reach[text[-2:]] = max(self.reach.get(text[-2:], 1), len(text))
         self.find_words = regex.compile(WORD_PATTERN).findall
         self.split_specials = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._cache: dict[str, bytes] = {}
+        self._cache_size = 0
 
     def _side_by_side(self, left: int, right: int, limit: int) -> bool:
         """Whether merges ranked before ``limit`` leave ``left`` and ``right`` apart.
@@ -106,10 +111,10 @@ class Tokenizer:
                 limit, right = right + 1, self.parts[right][0]
 
     def _may_follow(self, left: int, right: int) -> bool:
-        pair = left, right
+        pair = left << 32 | right
         known = self._pairs.get(pair)
         if known is None:
-            if len(self._pairs) > 4 * CACHED_WORDS:
+            if len(self._pairs) >= CACHED_PAIRS:
                 self._pairs.clear()
             known = self._pairs[pair] = self._side_by_side(left, right, len(self.parts))
         return known
@@ -182,9 +187,23 @@ class Tokenizer:
 
     def _learn(self, words: set[str]) -> None:
         new = words.difference(self._cache)
-        if new and len(self._cache) + len(new) > CACHED_WORDS:
-            self._cache, new = {}, words
-        self._cache |= self.encode_words(new)
+        if new and self._cache_size > CACHE_BYTES:
+            self._cache, self._cache_size, new = {}, 0, words
+        learned = self.encode_words(new)
+        self._cache |= learned
+        self._cache_size += sum(2 * len(word) + len(ids) + WORD_BYTES for word, ids in learned.items())
+
+
+class Decoder:
+    """The bytes of every token id of a vocabulary."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        specials = {t["id"]: t["content"].encode() for t in spec.get("added_tokens") or ()}
+        byte_of = _byte_of_character()
+        self.token_bytes = {i: bytes(map(byte_of.__getitem__, name)) for name, i in spec["model"]["vocab"].items() if i not in specials}
+        self.token_bytes |= specials
 
     def decode(self, packed: bytes) -> str:
         ids = np.frombuffer(packed, "<u4").tolist()
@@ -200,6 +219,11 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def _append(batch: pa.RecordBatch, name: str, values: pa.Array, kind: pa.DataType) -> pa.RecordBatch:
     fields = [*batch.schema, pa.field(name, kind)]
     return pa.RecordBatch.from_arrays([*batch.columns, values], schema=pa.schema(fields))
@@ -225,7 +249,7 @@ def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", out_co
     encoded = encoded.drop(out_col)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tokenizer(path)
+        model = decoder(path)
         for batch in slices(batches, ids_col):
             data, places = byte_offsets(batch.column(ids_col))
             raw = data.tobytes()
@@ -233,3 +257,32 @@ def decode_documents(encoded: DataFrame, path: str, ids_col: str = "ids", out_co
             yield _append(batch, out_col, pa.array(texts, pa.string()), pa.string())
 
     return encoded.mapInArrow(decode, T.StructType([*encoded.schema, T.StructField(out_col, T.StringType())]))
+
+
+def round_trip_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` without its text, encoded and decoded again by one worker.
+
+    Adds ``ids`` (packed), ``n_tokens``, ``decoded_sha256`` (hex, of the decoded text in UTF-8)
+    and ``decoded_equal``, whether decoding gives the text back.
+    """
+    added = {"ids": "binary", "n_tokens": "bigint", "decoded_sha256": "string", "decoded_equal": "boolean"}
+    docs = docs.drop(*[c for c in added if c != text_col])
+    fields = [f for f in docs.schema if f.name != text_col]
+    kinds = [pa.binary(), pa.int64(), pa.string(), pa.bool_()]
+
+    def both_ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, decode = tokenizer(path).encode, decoder(path).decode
+        for batch in slices(batches, text_col, PIECE_CHARS):
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            packed = encode(texts)
+            hashes, equal = [], []
+            for text, ids in zip(texts, packed):
+                again = decode(ids)
+                hashes.append(hashlib.sha256(again.encode()).hexdigest())
+                equal.append(again == text)
+            out = batch.drop_columns([text_col])
+            for (name, kind), values in zip(zip(added, kinds), (packed, [len(ids) // 4 for ids in packed], hashes, equal)):
+                out = _append(out, name, pa.array(values, kind), kind)
+            yield out
+
+    return docs.mapInArrow(both_ways, T.StructType([*fields, *T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in added.items()))]))

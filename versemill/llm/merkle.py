@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from versemill.llm.ranks import ranked
+from versemill.operators.ranks import ranked
 from versemill.operators.joins import BROADCAST_BYTES, broadcast_if_small
 from versemill.session import Staging
 

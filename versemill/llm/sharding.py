@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from versemill.llm.ranks import ranked
+from versemill.operators.ranks import ranked
 from versemill.session import Staging
 
 SLOTS = 4096

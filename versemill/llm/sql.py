@@ -115,3 +115,113 @@ roots AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings LEFT JOIN counts ON counts.a = vec_id JOIN roots ON roots.id = vec_id
 """
+
+
+# CRC-32 of decimal numbers, byte by byte over a table made from the polynomial.
+_CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, bit:
+           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) ORDER BY i) AS crc
+  FROM range(256) t(i)
+)"""
+
+
+def _crc(number: str) -> str:
+    digits = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda ch: ascii(ch)::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), {step}), 4294967295::BIGINT)"
+
+
+def _digest(*columns: str) -> str:
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    return "sha256(" + " || ".join(field(c) for c in columns) + ")"
+
+
+def _levels(source: str, group: str) -> str:
+    """All levels of the trees over the ``nodes`` of each ``group``."""
+    pair = "lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))"
+    return f"""
+  SELECT {group}, 0 AS level, nodes FROM {source}
+  UNION ALL
+  SELECT {group}, level + 1, list_transform(range((len(nodes) + 1) // 2), {pair}) FROM {{self}} WHERE len(nodes) > 1"""
+
+
+# A step of a proof: the sibling, and whether it stands on the left.
+_PATH = "list({{s: nodes[1 + xor({at} >> level, 1)], l: (({at} >> level) & 1) = 1}} ORDER BY level)"
+
+SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+  SELECT *, {_digest("doc_id", "source", "lang", "n_chars", "text")} AS leaf, coalesce('=' || lang, '') AS g,
+         {_digest("doc_id", "source", "lang", "(n_chars + 1)", "text")} AS altered
+  FROM documents
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+lists AS (SELECT g, list(leaf ORDER BY i) AS nodes FROM placed GROUP BY g),
+levels AS ({_levels("lists", "g").format(self="levels")}),
+subroots AS (SELECT g, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS place FROM levels WHERE len(nodes) = 1),
+upper_list AS (SELECT 0 AS t, list(subroot ORDER BY place) AS nodes FROM subroots),
+upper_levels AS ({_levels("upper_list", "t").format(self="upper_levels")}),
+root AS (SELECT nodes[1] AS root FROM upper_levels WHERE len(nodes) = 1),
+below AS (
+  SELECT g, i, {_PATH.format(at="i")} AS path FROM placed JOIN levels USING (g) WHERE len(nodes) > 1 GROUP BY g, i
+),
+above AS (
+  SELECT g, {_PATH.format(at="place")} AS path FROM subroots, upper_levels WHERE len(nodes) > 1 GROUP BY g
+),
+proven AS (
+  SELECT doc_id, leaf, subroot, list_concat(coalesce(below.path, []), coalesce(above.path, [])) AS path,
+         CASE WHEN {_crc("doc_id")} % 7 = 0 AND n_chars IS NOT NULL THEN altered ELSE leaf END AS now
+  FROM placed CROSS JOIN crc_table JOIN subroots USING (g)
+  LEFT JOIN below ON below.g = placed.g AND below.i = placed.i
+  LEFT JOIN above ON above.g = placed.g
+),
+done AS (
+  SELECT doc_id, leaf, subroot, sha256(coalesce(array_to_string(list_transform(path, lambda x: x.s), ''), '')) AS proof_sha256,
+         list_reduce(list_prepend({{s: now, l: false}}, path), lambda a, x: {{s: sha256(
+           CASE WHEN x.s IS NULL THEN a.s WHEN x.l THEN x.s || a.s ELSE a.s || x.s END), l: false}}).s AS folded_root
+  FROM proven
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done CROSS JOIN root
+"""
+
+SQL["op13_prefix_trie"] = f"""
+WITH {_CRC_TABLE},
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS d
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc("conv_id")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM own) CROSS JOIN crc_table),
+heads AS (SELECT c.conv_id, c.h, count(own.d) AS head FROM convs c LEFT JOIN own ON own.conv_id = c.base AND own.d <= c.h GROUP BY ALL),
+rebuilt AS (
+  SELECT c.conv_id, own.d, own.role, own.text FROM convs c JOIN own ON own.conv_id = c.base AND own.d <= c.h
+  UNION ALL
+  SELECT own.conv_id, own.d - heads.h + heads.head, own.role, own.text FROM own JOIN heads USING (conv_id) WHERE own.d > heads.h
+),
+marks AS (SELECT conv_id, list(md5(strlen(role) || ':' || role || text) ORDER BY d) AS ms, list(length(text) ORDER BY d) AS ps FROM rebuilt GROUP BY conv_id),
+whole AS (SELECT conv_id, coalesce(ms, []) AS ms, coalesce(ps, []) AS ps FROM convs LEFT JOIN marks USING (conv_id)),
+prefixes AS (
+  SELECT conv_id, d AS depth, len(ms) AS n_turns, md5(array_to_string(ms[1:d], '')) AS prefix, coalesce(ps[d], 0) AS points
+  FROM (SELECT *, unnest(range(len(ms) + 1)) AS d FROM whole)
+),
+nodes AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(points) AS points,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n_turns = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, prefix
+),
+parents AS (
+  SELECT n.depth, n.prefix, p.prefix AS above, up.conv_id AS parent_conv_id
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1
+  JOIN nodes up ON up.depth = p.depth AND up.prefix = p.prefix
+),
+children AS (SELECT depth - 1 AS depth, above AS prefix, count(*) AS n_children FROM parents GROUP BY ALL),
+counted AS (SELECT *, (n_convs - 1) * points AS saved, n_children IS NULL AS leaf FROM nodes LEFT JOIN children USING (depth, prefix)),
+under AS (
+  SELECT p.depth, p.prefix, sum(leaf::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM counted c JOIN prefixes p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY ALL
+)
+SELECT c.conv_id, c.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, ends_sha256
+FROM counted c JOIN under u ON u.depth = c.depth AND u.prefix = c.prefix
+LEFT JOIN parents p ON p.depth = c.depth AND p.prefix = c.prefix
+"""

@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from versemill.llm.ranks import counted_up, in_range_order, ranked
+from versemill.operators.ranks import counted_up, in_range_order, ranked
 from versemill.operators.joins import broadcast_if_small
 from versemill.session import Staging
 
