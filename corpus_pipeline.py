@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from versemill.llm import bpe, exact, minhash, mix, quality
+from versemill.session import Staging
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,14 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``ids``: packed token ids; ``n_tokens``; ``decoded_equal``: decoding gives the text back."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    decoded = bpe.decode_documents(bpe.encode_documents(docs, path), path)
-    return decoded.withColumns(
-        {
-            "n_tokens": F.floor(F.octet_length("ids") / 4),
-            "decoded_equal": F.col("decoded") == F.coalesce("text", F.lit("")),
-        }
-    ).drop("decoded", "text")
+    return bpe.round_trip_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [
@@ -58,8 +51,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. What a stage keeps is written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    staging, written = Staging(spark), None
+    for _, stage in STAGES[:-1]:
+        path = staging.path()
+        kept = stage(spark, docs, sf_dir)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if written:
+            staging.drop(written)
+        written = path
+    return STAGES[-1][1](spark, docs, sf_dir)
