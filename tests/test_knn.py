@@ -11,6 +11,13 @@ from versemill.operators.sampling import class_counts
 SCHEMA = "id long, embedding array<float>, label int"
 
 
+@pytest.fixture(autouse=True, params=["cells", "few"])
+def path(request, monkeypatch):
+    """Every case runs through the cells, and with the queries sent to the corpus."""
+    monkeypatch.setattr(knn, "FEW_BYTES", -1 if request.param == "cells" else 1 << 30)
+    return request.param
+
+
 def frame(spark, vectors, first_id=0, labels=None, schema=SCHEMA, ids=None):
     ids = ids or [first_id + i for i in range(len(vectors))]
     labels = labels or [i % 3 for i in range(len(vectors))]
@@ -158,3 +165,23 @@ def test_slices_cover_all_rows_once(monkeypatch):
 def test_unknown_metric(spark):
     with pytest.raises(ValueError):
         knn.knn_join(frame(spark, [[1]]), frame(spark, [[1]]), 1, "manhattan")
+
+
+def test_few_queries_shuffle_no_corpus_row(spark, path):
+    rng = np.random.default_rng(5)
+    q, c = frame(spark, rng.normal(size=(20, 8)), 10_000), frame(spark, rng.normal(size=(900, 8)))
+    plan = knn.knn_join(q, c, 3, corpus_cols=["label"])._jdf.queryExecution().executedPlan().toString()
+    assert ("FlatMapCoGroups" in plan) == (path == "cells")
+    if path == "few":
+        assert plan.count("Exchange") == 1 and plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_rows_of_cells_out_of_reach_are_not_shuffled(spark, path):
+    data = clustered(np.random.default_rng(1), 3000, width=0.001)
+    q, c = frame(spark, data[:1], 10_000), frame(spark, data[1:])
+    layout = knn.plan_cells(q, c, 5, "euclidean", "id", "embedding")
+    assert (layout.batches == 0).any()
+    rows = c.selectExpr("xxhash64('block', id) as spread", "id as nid", "embedding as vector")
+    groups = rows.mapInArrow(knn._corpus_groups(layout, 2), "groups array<long>, nid long, vector array<float>")
+    assert groups.count() < 2999 / 2
+    assert found(knn.knn_join(q, c, 5, "euclidean")) == brute(data[:1], data[1:], 5, "euclidean", list(range(2999)))

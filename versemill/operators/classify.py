@@ -5,19 +5,15 @@ from __future__ import annotations
 from abc import ABC, abstractmethod
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from versemill.functions.binding import bind
 from versemill.functions.vectors import argmax_class, as_doubles, blend, dot, l2_norm, softmax, uniform_scores
 from versemill.operators.knn import knn_join, majority_vote
-from versemill.operators.metrics import evaluate
+from versemill.operators.linear import LinearWeights, accuracies, fit_passes, predict
 from versemill.session import stage_table
 
 # Blend weights of the sweep, and the number of training passes.
@@ -64,40 +60,27 @@ class KNNClassifier(Model):
 
 
 class LinearTextClassifier(Model):
-    """M2/M3: one-versus-rest logistic loss with an L2 penalty on TF-IDF rows."""
+    """M2/M3: one-versus-rest logistic loss with an L2 penalty on TF-IDF rows.
+
+    ``fit`` makes ``max_iter`` passes over the rows and keeps the weights after each of them
+    in ``history``; ``model`` holds the last.
+    """
 
     def __init__(self, n_features: int, max_iter: int = EPOCHS, reg_param: float = 1e-4) -> None:
         self.n_features, self.max_iter, self.reg_param = n_features, max_iter, reg_param
-        self.model: PipelineModel | None = None
+        self.model: LinearWeights | None = None
+        self.history: list[LinearWeights] = []
 
     def fit(self, train: DataFrame) -> LinearTextClassifier:
-        one = LogisticRegression(maxIter=self.max_iter, regParam=self.reg_param, elasticNetParam=0.0)
-        rows = with_sparse_vectors(train, self.n_features).select("label", "features")
-        self.model = PipelineModel([OneVsRest(classifier=one).fit(rows)])
+        rows = stage_table(train.select("label", "term_ids", "weights"))
+        self.history = fit_passes(rows, self.n_features, self.max_iter, self.reg_param)
+        self.model = self.history[-1]
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
         if self.model is None:
             raise RuntimeError("fit the classifier before predicting")
-        scored = self.model.transform(with_sparse_vectors(df, self.n_features))
-        return scored.select("id", F.col("prediction").cast("int").alias("y_pred"))
-
-
-def with_sparse_vectors(rows: DataFrame, n_features: int) -> DataFrame:
-    """``term_ids, weights`` as a sparse ``features`` vector, without leaving the JVM.
-
-    Rows that have ``features`` already pass: stage the result where several fits read it.
-    """
-    if "features" in rows.columns:
-        return rows
-    shape = T.StructType([T.StructField("v", VectorUDT())])
-    parts = F.struct(
-        F.lit(0).alias("type"),
-        F.lit(n_features).alias("size"),
-        F.col("term_ids").alias("indices"),
-        F.col("weights").alias("values"),
-    )
-    return rows.withColumn("features", F.from_json(F.to_json(F.struct(parts.alias("v"))), shape)["v"])
+        return predict(df, self.model)
 
 
 def learning_curve(
@@ -106,30 +89,19 @@ def learning_curve(
     n_features: int,
     passes: Sequence[int] = range(1, EPOCHS + 1),
 ) -> DataFrame:
-    """``iteration, train_acc, val_acc`` after each number of passes.
+    """``iteration, train_acc, val_acc`` after each number of passes of one fit.
 
-    Without evaluation rows ``val_acc`` is null. Feature vectors are built once and staged.
+    Without evaluation rows ``val_acc`` is null.
     """
-    train = stage_table(with_sparse_vectors(train, n_features))
-    if evaluation is not None:
-        evaluation = stage_table(with_sparse_vectors(evaluation, n_features))
-    lines = []
-    for n in passes:
-        model = LinearTextClassifier(n_features, max_iter=n).fit(train)
-        parts = {"train_acc": train} | ({"val_acc": evaluation} if evaluation is not None else {})
-        scored = None
-        for name, rows in parts.items():
-            truth = rows.select("id", F.col("label").alias("y_true"))
-            line = evaluate(model.predict(rows).join(truth, "id")).select(
-                F.lit(n).alias("iteration"), F.lit(name).alias("part"), "accuracy"
-            )
-            scored = line if scored is None else scored.unionByName(line)
-        lines.append(scored)
-    stacked = lines[0]
-    for line in lines[1:]:
-        stacked = stacked.unionByName(line)
-    pick = lambda part: F.max(F.when(F.col("part") == part, F.col("accuracy")))
-    return stacked.groupBy("iteration").agg(pick("train_acc").alias("train_acc"), pick("val_acc").alias("val_acc"))
+    train = stage_table(train.select("label", "term_ids", "weights"))
+    history = fit_passes(train, n_features, max(passes), LinearTextClassifier(n_features).reg_param)
+    history = [history[n - 1] for n in passes]
+    iteration = F.element_at(F.array(*[F.lit(n) for n in passes]), (F.col("place") + 1).cast("int"))
+    curve = accuracies(train, history).select("place", iteration.alias("iteration"), F.col("accuracy").alias("train_acc"))
+    if evaluation is None:
+        return curve.select("iteration", "train_acc", F.lit(None).cast("double").alias("val_acc"))
+    held = accuracies(evaluation, history).withColumnRenamed("accuracy", "val_acc")
+    return curve.join(held, "place").select("iteration", "train_acc", "val_acc")
 
 
 def class_centroids(train: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from versemill.functions.text import clean_genius, clean_multilingual, normalise_label
@@ -94,11 +94,15 @@ def normalised_source(
     config: SourceConfig,
     custom: TextCleaner | None = None,
     apply_multilingual: bool = False,
+    watch: Callable[[DataFrame, str, str], DataFrame] = lambda df, stage, side: df,
 ) -> DataFrame:
-    """S3, F1, F2, F3 of one source: everything before the null drop."""
+    """S3, F1, F2, F3 of one source: everything before the null drop.
+
+    ``watch`` sees the rows before and after the language filter.
+    """
     renamed = rename_columns(df, config.cols_map)
-    labelled = renamed.withColumn("label", normalise_label(F.col("label")))
-    kept = filter_language(labelled, config.language_col, config.target_language)
+    labelled = watch(renamed.withColumn("label", normalise_label(F.col("label"))), "filter_language", "n_before")
+    kept = watch(filter_language(labelled, config.language_col, config.target_language), "filter_language", "n_after")
     return clean_text(kept, config.name, custom, apply_multilingual)
 
 
@@ -145,3 +149,27 @@ def stage_audit(df: DataFrame, config: SourceConfig, custom: TextCleaner | None
         ),
     )
     return counts.select("src", F.inline(stages))
+
+
+class StageAudit:
+    """F6 without a pass of its own: rows are counted while they flow to wherever they are written.
+
+    Hand it to the preparation, run that, then ask for :meth:`counts`.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[int, str, str, Observation]] = []
+
+    def passing(self, df: DataFrame, place: int, stage: str, side: str) -> DataFrame:
+        """``df``, counted as ``side`` (``n_before`` or ``n_after``) of ``stage``."""
+        seen = Observation()
+        self._seen.append((place, stage, side, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """``src, stage, n_before, n_after`` of the sources in their order; waits for the first run to end."""
+        lines: dict[tuple[int, str], dict[str, int]] = {}
+        for place, stage, side, seen in self._seen:
+            lines.setdefault((place, stage), {})[side] = seen.get["n"]
+        rows = [(place, stage, n["n_before"], n["n_after"]) for (place, stage), n in lines.items()]
+        return spark.createDataFrame(rows, "src int, stage string, n_before bigint, n_after bigint")

@@ -13,7 +13,8 @@ from versemill.functions.binding import bind
 from versemill.functions.text import unigrams_and_bigrams, without_stop_words, word_tokens
 from versemill.functions.vectors import l2_norm, scaled
 from versemill.operators.joins import broadcast_if_small
-from versemill.session import stage_table
+from versemill.operators.ranks import ranked
+from versemill.session import Staging, stage_table
 
 # Feature and sequence sizes.
 MAX_FEATURES = 20_000
@@ -63,8 +64,43 @@ def exploded_terms(counted: DataFrame, *cols: str) -> DataFrame:
 
 
 def top_terms(counted: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """The most frequent terms of the corpus; ties go to the smaller term."""
-    return counted.orderBy(F.desc("n_total"), "term").limit(max_features)
+    """The most frequent terms of the corpus; ties go to the smaller term.
+
+    No more than ``max_features`` rows are ever sorted in one place. A histogram of the
+    frequencies, first in 64 steps a doubling, then exact inside one step, finds the lowest
+    frequency that is kept; everything above it is. Terms of just that frequency, most of the
+    corpus when it is 1, are narrowed letter by letter: a histogram of their beginnings tells
+    which are kept whole, and only the one beginning in which the limit falls is looked into.
+    """
+    counted = stage_table(counted)
+    step = F.floor(F.log2("n_total") * 64).cast("int")
+    above, limit = 0, None
+    # At most 64 steps a bit of a count.
+    for row in sorted(counted.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        if above + row["count"] >= max_features:
+            limit = row["step"]
+            break
+        above += row["count"]
+    if limit is None:
+        return counted
+    downwards = Window.partitionBy(F.lit(0)).orderBy(F.desc("n_total"))
+    # One line per frequency inside the step, of which there are at most the root of all words.
+    frequencies = counted.where(step == limit).groupBy("n_total").count().withColumn("upto", F.sum("count").over(downwards) + above)
+    last = frequencies.where(F.col("upto") >= max_features).orderBy("upto").first()
+    ties, wanted = counted.where(F.col("n_total") == last["n_total"]), max_features - (last["upto"] - last["count"])
+    kept = counted.where(F.col("n_total") > last["n_total"])
+    n_ties, letters = last["count"], 0
+    while n_ties > max_features:
+        letters += 1
+        start = F.substring("term", 1, letters)
+        starts = ties.groupBy(start.alias("start")).count()
+        upto = F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy("start"))
+        # One line per letter after the beginning so far.
+        split = starts.withColumn("upto", upto).where(F.col("upto") >= wanted).orderBy("upto").first()
+        kept = kept.unionByName(ties.where(start < split["start"]))
+        ties, n_ties = ties.where(start == split["start"]), split["count"]
+        wanted -= split["upto"] - split["count"]
+    return kept.unionByName(ties.orderBy("term").limit(wanted))
 
 
 def tfidf_fit(train: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -129,9 +165,9 @@ def token_vocabulary(
 ) -> DataFrame:
     """Word ids by frequency in ``train`` (``term, token_id``); 0 and 1 are reserved.
 
-    All words get an id unless the caller limits their number. Ids are exact ranks: words are
-    ranked inside slices of equal frequency and equal first letters, and shifted by the sizes
-    of the slices before; only the slice sizes meet in one task.
+    All words get an id unless the caller limits their number. Ids are exact ranks over a sort
+    that is dealt to all tasks by range, so neither words seen once nor any other frequency
+    meet in one task.
     """
     counted = (
         train.select(F.explode_outer(word_tokens(F.col(text_col))).alias("term"))
@@ -139,21 +175,9 @@ def token_vocabulary(
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_total"))
     )
-    if size is not None:
-        counted = top_terms(counted, size)
-    sliced = counted.withColumn("_start", F.substring("term", 1, 2))
-    earlier = Window.partitionBy(F.lit(0)).orderBy(F.desc("n_total"), "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy("n_total", "_start")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("n_total", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy("n_total", "_start").orderBy("term")
-    return (
-        sliced.withColumn("_place", F.row_number().over(inside))
-        .join(offsets, ["n_total", "_start"])
-        .select("term", (F.col("_offset") + F.col("_place") - 1 + FIRST_TOKEN_ID).cast("int").alias("token_id"))
-    )
+    counted = stage_table(counted) if size is None else top_terms(counted, size)
+    placed = ranked(counted, [], [-F.col("n_total"), "term"], "_place", Staging(train.sparkSession))
+    return placed.select("term", (F.col("_place") + FIRST_TOKEN_ID).cast("int").alias("token_id"))
 
 
 def encode_fixed_length(

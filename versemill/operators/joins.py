@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEYS = 1000
 SALTS = 32
+#: A bitmap of this many places (8 MB) tells which keys are wanted.
+FILTER_BITS = 26
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -53,3 +55,33 @@ def lookup_join(facts: DataFrame, table: DataFrame, key: str, spread_by: str) ->
         table.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     )
     return salted_facts.join(salted_table, [key, "_salt"], "left").drop("_salt")
+
+
+def spread_join(facts: DataFrame, table: DataFrame, keys: list[str], n_col: str) -> DataFrame:
+    """``facts`` joined to ``table`` (written, unique on ``keys``, ``n_col`` counts the facts of a key).
+
+    Keys that own more than one in ``HOT_KEYS`` of all matches, fewer than ``HOT_KEYS`` of them, are
+    broadcast and their facts stay where they are; all others meet in a shuffle.
+    """
+    total = table.agg(F.sum(n_col)).first()[0] or 0
+    is_hot = F.col(n_col) > max(total // HOT_KEYS, HOT_KEYS)
+    hot, rest = F.broadcast(table.where(is_hot).drop(n_col)), table.where(~is_hot).drop(n_col)
+    others = facts.join(hot.select(*keys), keys, "left_anti").join(rest, keys)
+    return facts.join(hot, keys).unionByName(others)
+
+
+def wanted_rows(table: DataFrame, wanted: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows of ``table`` whose ``key`` may be among those of ``wanted``, told where they are scanned.
+
+    The wanted keys set bits of one bitmap of ``2 ** bits`` places by their hash; the bitmap, whose
+    size is fixed, is broadcast, and only rows whose place is set go on. No wanted row is lost;
+    others pass as often as places are taken, so an exact join follows.
+    """
+    place = F.pmod(F.xxhash64(F.lit("wanted"), F.col(key)), F.lit(1 << bits))
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    marks = wanted.where(F.col(key).isNotNull()).select(bucket.alias("_bucket"), bit.alias("_bit"))
+    bitmap = marks.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1
+    tested = table.withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(bitmap), "_bucket")
+    return tested.where(is_set).select(*table.columns)

@@ -10,6 +10,10 @@ The join is exact for any data and never ranks all pairs in one place:
    (block, batch) group computes a matrix product and keeps the k nearest per query.
 4. A window keeps the k nearest over all blocks of a query.
 
+Queries that measure small (``FEW_BYTES``) need none of that: they travel with the tasks that
+scan the corpus, each task keeps the k nearest it has seen per query, and only those are
+shuffled.
+
 A cell that holds a third of the corpus becomes many blocks, so no task grows with it.
 Cosine distance is searched as Euclidean distance of unit vectors (d_e^2 = 2 d_cos).
 """
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from versemill.functions.vectors import vote_shares
-from versemill.operators.joins import lookup_join
+from versemill.operators.joins import lookup_join, wanted_rows
 from versemill.operators.sampling import with_class_values
 from versemill.session import stage_table
 
@@ -41,6 +45,8 @@ MAX_PIVOTS = 1024
 # each block meets fewer batches, so it is as large as a task can hold with ease.
 BLOCK_BYTES = 64 * 1024 * 1024
 PAIR_BUDGET = 4_000_000
+#: Queries up to this size are sent to the corpus instead of being joined with it.
+FEW_BYTES = 4 * 1024 * 1024
 MAX_TASKS = 50_000
 REL_TOLERANCE = 1e-6
 
@@ -60,13 +66,17 @@ def matrix_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(rows, -1)
 
 
-def check_vectors(queries: DataFrame, corpus: DataFrame, vector_col: str) -> None:
-    """Raises when the two sides are not finite vectors of one length; one aggregate a side."""
+def check_vectors(queries: DataFrame, corpus: DataFrame, vector_col: str) -> tuple[int, int, int]:
+    """Numbers of queries and corpus rows, and the length of the vectors; one aggregate a side.
+
+    Raises when the two sides are not finite vectors of one length.
+    """
     vector = F.col(vector_col)
-    lengths = set()
+    lengths, counts = set(), []
     for side, df in (("queries", queries), ("corpus", corpus)):
         bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
         found = df.agg(
+            F.count(F.lit(1)).alias("n"),
             F.count_if(vector.isNull()).alias("null vectors"),
             F.count_if(bad).alias("vectors with null or non-finite numbers"),
             F.min(F.size(vector)).alias("low"),
@@ -76,8 +86,10 @@ def check_vectors(queries: DataFrame, corpus: DataFrame, vector_col: str) -> Non
             if found[what]:
                 raise ValueError(f"the {side} hold {found[what]} {what}")
         lengths |= {n for n in (found["low"], found["high"]) if n is not None}
+        counts.append(found["n"])
     if len(lengths) > 1:
         raise ValueError(f"vectors of different length: {min(lengths)} to {max(lengths)}")
+    return counts[0], counts[1], max(lengths, default=0)
 
 
 def searchable(vectors: np.ndarray, metric: str, is_query: bool) -> np.ndarray:
@@ -194,8 +206,9 @@ def _cell_summary(corpus: DataFrame, vector_col: str, pivots: np.ndarray, metric
             names=["cell", "n", "inner", "outer", "near"],
         )
 
-    partial = corpus.select(vector_col).mapInArrow(
-        summarise, "cell int, n long, inner double, outer double, near array<double>"
+    # At most a line per pivot and task: written, so the corpus is read once for both uses.
+    partial = stage_table(
+        corpus.select(vector_col).mapInArrow(summarise, "cell int, n long, inner double, outer double, near array<double>")
     )
     smallest = Window.partitionBy("cell").orderBy("d")
     # Every partial list holds k values at most; only the k smallest per cell are kept.
@@ -254,12 +267,15 @@ def plan_cells(
     metric: str,
     corpus_id: str,
     vector_col: str,
-) -> CellLayout | None:
-    """Pivots, cell summaries and block counts; ``None`` when the corpus is empty."""
-    n_rows = corpus.count()
-    if n_rows == 0:
-        return None
-    dim = len(corpus.select(vector_col).first()[0])
+    n_rows: int | None = None,
+    dim: int | None = None,
+) -> CellLayout:
+    """Pivots, cell summaries and block counts; cells that no query reaches get no batch.
+
+    ``corpus`` has rows; their number and the length of the vectors are counted if not given.
+    """
+    if n_rows is None or dim is None:
+        n_rows, dim = corpus.count(), len(corpus.select(vector_col).first()[0])
     pivots = searchable(
         _pivot_rows(corpus, corpus_id, vector_col, n_rows, dim), metric, is_query=False
     )
@@ -276,9 +292,7 @@ def plan_cells(
         batches=np.ones(len(pivots), dtype=np.int64),
     )
     targets = _query_targets(queries, vector_col, layout)
-    return CellLayout(
-        **{**layout.__dict__, "batches": np.maximum(1, -(-targets // block_rows))}
-    )
+    return CellLayout(**{**layout.__dict__, "batches": -(-targets // block_rows)})
 
 
 def _list_array(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
@@ -307,6 +321,9 @@ def _corpus_groups(layout: CellLayout, vector_at: int):
             if not len(vectors):
                 continue
             cell, _ = _nearest_cell(vectors, layout.pivots)
+            reached = layout.batches[cell] > 0
+            if not reached.all():  # rows no query can have among its nearest stay where they are
+                batch, cell = batch.filter(pa.array(reached)), cell[reached]
             width = layout.batches[cell]
             start = first[cell] + batch.column(0).to_numpy() % layout.blocks[cell] * width
             for rows in _slices(width):
@@ -403,13 +420,14 @@ def knn_join(
     vectors that hold null or non-finite numbers, and vectors of different lengths raise a
     ``ValueError`` that tells how many there are: no row is left out in silence.
 
-    Planning runs jobs: it checks both sides, counts the corpus, draws pivots, summarises the
-    cells (two reads) and counts the queries' targets before the join reads both sides, so
-    both should be tables (:func:`versemill.session.stage_table`), not long plans.
+    Planning runs jobs: one that checks and counts each side and, unless the queries are few,
+    one each that draws pivots, summarises the cells and counts the queries' targets before
+    the join reads both sides, so both should be tables
+    (:func:`versemill.session.stage_table`), not long plans.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {METRICS}")
-    check_vectors(queries, corpus, vector_col)
+    n_queries, n_rows, dim = check_vectors(queries, corpus, vector_col)
     spread = F.xxhash64
     carried = [F.col(c).alias(f"n_{c}") for c in corpus_cols]
     right = corpus.select(
@@ -429,10 +447,14 @@ def knn_join(
         + [left.schema[c] for c in query_cols]
         + [right.schema[f"n_{c}"] for c in corpus_cols]
     )
-    layout = plan_cells(queries, corpus, k, metric, corpus_id, vector_col)
-    if layout is None:
+    if not n_queries or not n_rows:
         empty = queries.sparkSession.createDataFrame([], out_schema)
         return _ranked(empty, k, query_cols, corpus_cols)
+    if n_queries * dim * 8 <= FEW_BYTES:
+        asked = left.drop("spread").toArrow()  # FEW_BYTES of vectors at most
+        found = _scan_for(asked, right.drop("spread"), k, metric, out_schema)
+        return _ranked(found, k, query_cols, corpus_cols)
+    layout = plan_cells(queries, corpus, k, metric, corpus_id, vector_col, n_rows, dim)
 
     groups = T.StructField("groups", T.ArrayType(T.LongType()))
     bound = T.StructField("bound", T.DoubleType())
@@ -485,6 +507,43 @@ def knn_join(
     return _ranked(candidates, k, query_cols, corpus_cols)
 
 
+def _scan_for(asked: pa.Table, corpus: DataFrame, k: int, metric: str, out_schema: T.StructType) -> DataFrame:
+    """The k nearest rows of every task's part of ``corpus`` for each of the ``asked`` queries."""
+    query_vectors = searchable(matrix_of(asked.column("vector")), metric, is_query=True)
+    asked = asked.drop_columns(["vector"]).combine_chunks()
+    carried = [n for n in corpus.columns if n != "vector"]
+    names = out_schema.names
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None  # the rows nearest so far, by query and distance
+        bounds = np.full(len(query_vectors), np.inf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            vectors = searchable(matrix_of(batch.column("vector")), metric, is_query=False)
+            order = np.unique(batch.column("nid").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+            found = list(nearest_in_block(query_vectors, bounds, vectors, order, metric, k))
+            if not found:
+                continue
+            q, c, distance = (np.concatenate(parts) for parts in zip(*found))
+            rows = [batch.column(n).take(pa.array(c)) for n in carried]
+            part = pa.table([pa.array(q), pa.array(distance), *rows], names=["_q", "distance", *carried])
+            kept = part if kept is None else pa.concat_tables([kept, part])
+            kept = kept.sort_by([("_q", "ascending"), ("distance", "ascending"), ("nid", "ascending")])
+            q = kept.column("_q").to_numpy()
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            kept = kept.filter(pa.array(place < k))
+            last = place == k - 1
+            farthest = kept.column("distance").to_numpy()[(place[place < k]) == k - 1]
+            bounds[q[last]] = np.sqrt(2 * farthest) if metric == "cosine" else farthest
+        if kept is not None:
+            found = asked.take(kept.column("_q").combine_chunks())
+            columns = [found.column(n) if n in found.column_names else kept.column(n) for n in names]
+            yield from pa.table(columns, names=names).to_batches()
+
+    return corpus.mapInArrow(nearest, out_schema)
+
+
 def _ranked(candidates: DataFrame, k: int, query_cols: Sequence[str], corpus_cols: Sequence[str]) -> DataFrame:
     nearest = Window.partitionBy("qid").orderBy("distance", "nid")
     return (
@@ -500,11 +559,14 @@ def attach_neighbor_metadata(
     """Original columns of each neighbour, joined after the top-k.
 
     A corpus row can be the neighbour of a large share of all queries, so hot ids are
-    salted. Neighbours are read twice for that, hence written first (k narrow rows a query).
+    salted. Neighbours are read again for that, hence written first (k narrow rows a query).
+    A bitmap of the ids that are neighbours, applied at the scan, keeps all other rows of the
+    corpus, with their texts, out of the join.
     """
     table = corpus.select(F.col(corpus_id).alias("nid"), *[F.col(c).alias(f"n_{c}") for c in cols])
     kept = [c for c in neighbors.columns if c not in table.columns or c == "nid"]
-    return lookup_join(stage_table(neighbors.select(*kept)), table, "nid", "qid")
+    found = stage_table(neighbors.select(*kept))
+    return lookup_join(found, wanted_rows(table, found, "nid"), "nid", "qid")
 
 
 def neighbor_lists(neighbors: DataFrame, query_cols: Sequence[str] = (), label_col: str = "n_label") -> DataFrame:

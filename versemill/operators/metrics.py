@@ -26,18 +26,13 @@ def confusion_counts(predictions: DataFrame, by: Sequence[str] = ()) -> DataFram
 
 def confusion_matrix(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Counts for every pair from the union of true and predicted labels, zeros included."""
-    cells = confusion_counts(predictions, by).groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.struct("y_true", "y_pred"), "n"))).alias("_cells"),
-        F.array_distinct(F.flatten(F.collect_list(F.array("y_true", "y_pred")))).alias("_labels"),
-    )
-    return (
-        cells.withColumn("y_true", F.explode("_labels"))
-        .withColumn("y_pred", F.explode("_labels"))
-        .withColumn(
-            "n", F.coalesce(F.try_element_at("_cells", F.struct("y_true", "y_pred")), F.lit(0).cast("long"))
-        )
-        .select(*by, "y_true", "y_pred", "n")
-    )
+    counts = confusion_counts(predictions, by)
+    # One line per class and model; the pairs asked for are the square of the classes.
+    labels = counts.select(*by, F.explode(F.array_distinct(F.array("y_true", "y_pred"))).alias("y_true")).distinct()
+    others = labels.withColumnRenamed("y_true", "y_pred")
+    everything = labels.withColumn("_all", F.lit(0)).join(others.withColumn("_all", F.lit(0)), [*by, "_all"])
+    cells = everything.select(*by, "y_true", "y_pred", F.lit(0).cast("long").alias("n"))
+    return counts.unionByName(cells).groupBy(*by, "y_true", "y_pred").agg(F.sum("n").alias("n"))
 
 
 def class_outcomes(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:

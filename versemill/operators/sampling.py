@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from versemill.functions.keys import DEFAULT_SEED, digest_number, order_digest
 from versemill.operators.joins import broadcast_if_small
+from versemill.session import stage_table
+
+SLICE_ROWS = 100_000
 
 
 def dedup_keep_first(
@@ -20,13 +23,23 @@ def dedup_keep_first(
 ) -> DataFrame:
     """Of the rows with equal text, the first in ``order_cols`` order.
 
-    Rows are grouped by the text's SHA-256, and the winner is picked by an aggregate, so
-    each map task sends at most one row per distinct text: copies never meet in bulk. With
-    ``keep_text=False`` only the other columns travel, for callers that need no text.
+    Rows are grouped by the text's SHA-256. Only digests and order columns are shuffled: each map
+    task sends at most one short row per distinct text, so copies never meet in bulk. The rows
+    themselves are written once and read back past the groups that hold more than one row,
+    which are broadcast when they measure small; then no text crosses the network at all.
+    With ``keep_text=False`` the other columns travel with their digest, for callers that
+    need no text. Rows without text count as equal.
     """
-    carried = [c for c in df.columns if keep_text or c != text_col]
-    winner = F.min_by(F.struct(*carried), F.struct(*order_cols)).alias("row")
-    return df.groupBy(F.sha2(F.col(text_col), 256).alias("text_key")).agg(winner).select("row.*")
+    key = F.coalesce(F.sha2(F.col(text_col), 256), F.lit(""))
+    if not keep_text:
+        winner = F.min_by(F.struct(*[c for c in df.columns if c != text_col]), F.struct(*order_cols)).alias("row")
+        return df.groupBy(key.alias("_digest")).agg(winner).select("row.*")
+    rows = stage_table(df.withColumns({"_digest": F.unhex(key), "_row": F.monotonically_increasing_id()}))
+    first = F.min(F.struct(*order_cols, "_row"))["_row"]
+    groups = rows.groupBy("_digest").agg(first.alias("_first"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    repeated = broadcast_if_small(stage_table(groups.drop("_n")))
+    kept = F.col("_first").isNull() | (F.col("_first") == F.col("_row"))
+    return rows.join(repeated, "_digest", "left").where(kept).select(*df.columns)
 
 
 def class_counts(df: DataFrame, label_col: str = "label") -> DataFrame:
@@ -58,7 +71,7 @@ def class_rank(
     label_col: str = "label",
     key_cols: Sequence[str] = ("id",),
     seed: int = DEFAULT_SEED,
-    hex_digits: int = 3,
+    hex_digits: int | None = None,
     rank_col: str = "class_rank",
 ) -> DataFrame:
     """Exact rank 1..n inside each class, in seeded order.
@@ -66,8 +79,13 @@ def class_rank(
     A window per class would send a class to one task. The leading hex digits of the
     order digest cut each class into ``16 ** hex_digits`` equal slices that keep the
     order, so rows are ranked inside their slice and shifted by the size of the slices
-    before it.
+    before it. Unless given, the digits follow from the number of rows (one count), so that
+    no slice holds much more than ``SLICE_ROWS``; ``df`` should be a written table.
     """
+    if hex_digits is None:
+        n_rows, hex_digits = df.count(), 1
+        while n_rows > SLICE_ROWS * 16**hex_digits:
+            hex_digits += 1
     sliced = df.withColumn("_digest", order_digest(seed, *key_cols)).withColumn(
         "_slice", F.substring("_digest", 1, hex_digits)
     )

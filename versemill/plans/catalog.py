@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from versemill.functions import text as tx
 from versemill.functions.vectors import uniform_scores
-from versemill.operators import classify, cleaning, features, knn, metrics, report, sampling
+from versemill.operators import approx, classify, cleaning, features, knn, metrics, report, sampling
 from versemill.plans import setup
-from versemill.plans.harmonize import ROW_KEY, encode
+from versemill.plans.harmonize import ROW_KEY, clean_pool, counted_rows, encode
 from versemill.plans.search import search_texts
 from versemill.session import stage_table, staging_root
 from versemill.sources import tables
@@ -79,6 +79,27 @@ def stage_audit(spark, sf):
     return docs.unionByName(talks)
 
 
+@query
+def harmonize_audit(spark, sf):
+    """The same counts, taken while the cleaned pool is written."""
+    audit = cleaning.StageAudit()
+    clean_pool(setup.raw_sources(spark, sf), setup.GENRE_MAP, setup.LABEL2ID, audit=audit)
+    return audit.counts(spark)
+
+
+@query
+def custom_cleaner(spark, sf):
+    """A caller's cleaner for a source that has none built in."""
+    hidden = lambda text: F.regexp_replace(F.lower(text), "[0-9]+", "#")
+    return cleaning.clean_text(setup.documents(spark, sf), "own", hidden).select("id", "text")
+
+
+@query
+def union_dedup_multilingual(spark, sf):
+    """The pool with both cleaners on and without empty texts."""
+    return clean_pool(setup.raw_sources(spark, sf), setup.GENRE_MAP, setup.LABEL2ID, apply_multilingual=True, drop_empty=True)
+
+
 @query
 def union_sources(spark, sf):
     parts = [cleaning.rename_columns(s.table, s.config.cols_map) for s in setup.raw_sources(spark, sf)]
@@ -173,23 +194,19 @@ def word_ngrams(spark, sf):
 
 
 def _counted(spark, sf):
-    rows = tables.spread_small_scan(stage_table(setup.harmonized(spark, sf)))
-    counted = features.term_frequencies(rows, "text", setup.DOCUMENTS.stop_words())
+    counted = counted_rows(setup.pool(spark, sf), setup.DOCUMENTS.stop_words())
     vocabulary = features.fitted(features.tfidf_fit(counted.where(F.col("split") == "train")))
-    return rows, counted, vocabulary
+    return counted, vocabulary
 
 
 @query
 def tfidf_vocabulary(spark, sf):
-    staged = tables.spread_small_scan(stage_table(setup.harmonized(spark, sf)))
-    counted = features.term_frequencies(staged.where(F.col("split") == "train"), "text", setup.STOP_WORDS)
-    return rounded(features.tfidf_fit(counted))
+    return rounded(_counted(spark, sf)[1])
 
 
 @query
 def tfidf_vectors(spark, sf):
-    _, counted, vocabulary = _counted(spark, sf)
-    vectors = features.tfidf_transform(counted, vocabulary, ROW_KEY)
+    vectors = features.tfidf_transform(*_counted(spark, sf), ROW_KEY)
     return rounded(features.sparse_to_long(vectors, ROW_KEY))
 
 
@@ -207,8 +224,7 @@ def encode_fixed_length(spark, sf):
 
 @query
 def hashed_text_embedding(spark, sf):
-    _, counted, vocabulary = _counted(spark, sf)
-    vectors = features.hashed_text_embedding(counted, vocabulary, ROW_KEY)
+    vectors = features.hashed_text_embedding(*_counted(spark, sf), ROW_KEY)
     return rounded(vectors.select(*ROW_KEY, F.posexplode_outer("embedding").alias("pos", "value")))
 
 
@@ -258,6 +274,12 @@ def knn_all_rows(spark, sf):
     return rounded(found)
 
 
+@query
+def knn_approx(spark, sf):
+    splits = setup.embedding_splits(spark, sf)
+    return rounded(approx.knn_join_approx(setup.part(splits, "test"), setup.part(splits, "train"), setup.K))
+
+
 @query
 def knn_with_metadata(spark, sf):
     found = setup.neighbors_of(setup.embedding_splits(spark, sf), "cosine")
@@ -358,9 +380,10 @@ def linear_tfidf_predictions(spark, sf):
     data = encode(setup.harmonized(spark, sf), setup.STOP_WORDS)
     rows = stage_table(_keyed(data.features))
     model = classify.LinearTextClassifier(features.MAX_FEATURES).fit(rows.where(F.col("split") == "train"))
-    predicted = model.predict(rows.where(F.col("split") == "test"))
-    aligned = metrics.align_truth(predicted, rows)
-    return aligned.select("id", "y_true", F.col("y_pred").isin(*setup.LABEL2ID.values()).alias("known_class"))
+    path = _own_path(spark)
+    tables.save_model(model.model, path)
+    model.model = tables.load_model(path)
+    return metrics.align_truth(model.predict(rows.where(F.col("split") == "test")), rows).select("id", "y_true", "y_pred")
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -374,14 +397,7 @@ def learning_curve(spark, sf):
     rows = stage_table(_keyed(data.features))
     parts = {name: rows.where(F.col("split") == name) for name in ("train", "eval")}
     curve = classify.learning_curve(parts["train"], parts["eval"], features.MAX_FEATURES)
-    # Classes are balanced and terms outnumber rows, so from the first passes on the training
-    # rows are told apart better than by chance.
-    chance = 1 / len(setup.LABEL2ID)
-    return curve.select(
-        "iteration",
-        (F.col("train_acc") > chance).alias("train_beats_chance"),
-        F.col("val_acc").between(0, 1).alias("val_is_a_share"),
-    )
+    return rounded(curve)
 
 
 # --- metrics ------------------------------------------------------------------------
@@ -389,42 +405,54 @@ def learning_curve(spark, sf):
 
 @query
 def prediction_registry(spark, sf):
-    return setup.registry(setup.embedding_splits(spark, sf))
+    return _registry(spark, sf)
+
+
+def _registry(spark, sf, *names):
+    """Predictions of the models named, by default of all of them."""
+    splits = setup.embedding_splits(spark, sf)
+    return setup.registry(spark, sf, splits, names) if names else setup.registry(spark, sf, splits)
 
 
 @query
 def evaluate_metrics(spark, sf):
-    return rounded(metrics.evaluate(setup.registry(setup.embedding_splits(spark, sf)), ["model"], range(setup.N_LABELS)))
+    return rounded(metrics.evaluate(_registry(spark, sf), ["model"], range(setup.N_LABELS)))
 
 
 @query
 def f1_per_class(spark, sf):
-    return rounded(metrics.f1_per_class(setup.registry(setup.embedding_splits(spark, sf)), ["model"]))
+    return rounded(metrics.f1_per_class(_registry(spark, sf), ["model"]))
 
 
 @query
 def recall_per_class(spark, sf):
     return rounded(
-        metrics.recall_per_class(setup.registry(setup.embedding_splits(spark, sf)), setup.N_LABELS, ["model"])
+        metrics.recall_per_class(_registry(spark, sf), setup.N_LABELS, ["model"])
     )
 
 
 @query
 def recall_matrix(spark, sf):
-    return rounded(metrics.recall_matrix(setup.registry(setup.embedding_splits(spark, sf)), setup.N_LABELS))
+    return rounded(metrics.recall_matrix(_registry(spark, sf), setup.N_LABELS))
 
 
 @query
 def confusion_matrix(spark, sf):
-    return metrics.confusion_matrix(setup.registry(setup.embedding_splits(spark, sf)), ["model"])
+    return metrics.confusion_matrix(_registry(spark, sf), ["model"])
 
 
 @query
 def compare_models(spark, sf):
-    scores = metrics.evaluate(setup.registry(setup.embedding_splits(spark, sf)), ["model"], range(setup.N_LABELS))
+    scores = metrics.evaluate(_registry(spark, sf, "teacher", "student"), ["model"], range(setup.N_LABELS))
     return rounded(metrics.compare_models(scores, "teacher", "student"))
 
 
+@query
+def compare_neighbors_with_tfidf(spark, sf):
+    scores = metrics.evaluate(_registry(spark, sf, "knn_embeddings", "baseline_tfidf"), ["model"], range(setup.N_LABELS))
+    return rounded(metrics.compare_models(scores, "baseline_tfidf", "knn_embeddings"))
+
+
 @query
 def compare_alphas_with_teacher(spark, sf):
     splits = setup.embedding_splits(spark, sf)
@@ -435,9 +463,7 @@ def compare_alphas_with_teacher(spark, sf):
 
 @query
 def degradation_by_class(spark, sf):
-    return rounded(
-        metrics.degradation_by_class(setup.registry(setup.embedding_splits(spark, sf)), "teacher", "student")
-    )
+    return rounded(metrics.degradation_by_class(_registry(spark, sf, "teacher", "student"), "teacher", "student"))
 
 
 # --- reports ------------------------------------------------------------------------
@@ -447,13 +473,13 @@ def degradation_by_class(spark, sf):
 def leaderboard(spark, sf):
     splits = setup.embedding_splits(spark, sf)
     neighbors = setup.held_out_neighbors(splits)
-    models = metrics.evaluate(setup.registry(splits, neighbors), ["model"], range(setup.N_LABELS))
+    models = metrics.evaluate(setup.registry(spark, sf, splits, setup.MODELS, neighbors), ["model"], range(setup.N_LABELS))
     return rounded(report.leaderboard(models, _test_alphas(splits, neighbors), setup.MODELS))
 
 
 @query
 def correct_incorrect_counts(spark, sf):
-    predictions = setup.registry(setup.embedding_splits(spark, sf))
+    predictions = stage_table(_registry(spark, sf))
     right = report.correct_rows(predictions).groupBy("model").agg(F.count(F.lit(1)).alias("n"))
     wrong = report.incorrect_rows(predictions).groupBy("model").agg(F.count(F.lit(1)).alias("n"))
     return right.select("model", F.lit("right").alias("outcome"), "n").unionByName(
@@ -523,9 +549,50 @@ def text_search(spark, sf):
 # --- persisted tables ---------------------------------------------------------------
 
 
+def _own_path(spark):
+    return f"{staging_root(spark)}/versemill/{uuid.uuid4().hex}"
+
+
+@query
+def feature_bundle(spark, sf):
+    """Two versions of the features and encodings, the first without evaluation rows, read back."""
+    data = encode(setup.harmonized(spark, sf), setup.STOP_WORDS)
+    path, key = _own_path(spark), list(ROW_KEY)
+    for without in (["eval"], []):
+        wanted = ~F.col("split").isin(*without)
+        rows = data.rows.where(wanted)
+        tables.write_bundle(
+            spark,
+            path,
+            {
+                "terms": data.terms,
+                "words": data.words,
+                "features": data.features.where(wanted).drop("label"),
+                "labels": rows.select(*key, "split", "label"),
+                "tokens": rows.select(*key, "split").join(data.tokens, key),
+            },
+        )
+    out = None
+    for version in tables.bundle_versions(spark, path):
+        n_terms = tables.read_bundle(spark, path, "terms", version=version).count()
+        for split in tables.SPLITS:
+            held = {n: tables.read_bundle(spark, path, n, split, version).drop("split") for n in ("features", "labels", "tokens")}
+            part = held["labels"].join(held["features"], key).join(held["tokens"], key).select(
+                F.lit(version).alias("version"),
+                *key,
+                F.lit(split).alias("split"),
+                "label",
+                F.size("term_ids").alias("n_terms"),
+                F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_words"),
+                F.lit(n_terms).cast("long").alias("n_vocabulary"),
+            )
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def write_read_splits(spark, sf):
-    path = f"{staging_root(spark)}/versemill/{uuid.uuid4().hex}"
+    path = _own_path(spark)
     tables.write_splits(setup.harmonized(spark, sf), path)
     parts = [tables.read_split(spark, path, name) for name in tables.SPLITS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -551,7 +618,7 @@ def split_views(spark, sf):
 @query
 def materialise_embeddings(spark, sf):
     """Vectors computed once and read back; the second call only reads."""
-    path = f"{staging_root(spark)}/versemill/{uuid.uuid4().hex}"
+    path = _own_path(spark)
     compute = lambda: setup.embeddings(spark, sf)
     tables.materialise_embeddings(spark, path, compute)
     saved = tables.materialise_embeddings(spark, path, compute)

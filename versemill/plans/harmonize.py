@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from versemill.functions.keys import DEFAULT_SEED
 from versemill.operators.cleaning import (
+    StageAudit,
     TextCleaner,
     drop_nulls,
     map_genres,
@@ -63,24 +64,44 @@ def clean_pool(
     apply_multilingual: bool = False,
     drop_empty: bool = False,
     keep_text: bool = True,
+    audit: StageAudit | None = None,
 ) -> DataFrame:
     """Clean, labelled rows of all sources, one per distinct text: ``src, id, text, label``.
 
-    ``keep_text=False`` gives keys and labels only, and no text is shuffled.
+    ``keep_text=False`` gives keys and labels only, and no text is shuffled. An ``audit`` counts
+    the rows that pass the stages of each source.
 
     Nulls are dropped per source while all its columns are still there; only then are the
     columns cut to the four that later steps use, so nothing else is shuffled.
     """
     frames = []
-    for source in sources:
-        prepared = normalised_source(source.table, source.config, source.cleaner, apply_multilingual)
-        complete = drop_nulls(prepared, never_null(source.config, apply_multilingual))
+    for place, source in enumerate(sources):
+
+        def watch(df: DataFrame, stage: str, side: str, place: int = place) -> DataFrame:
+            return audit.passing(df, place, stage, side) if audit else df
+
+        prepared = normalised_source(source.table, source.config, source.cleaner, apply_multilingual, watch)
+        known = never_null(source.config, apply_multilingual)
+        complete = watch(drop_nulls(watch(prepared, "drop_nulls", "n_before"), known), "drop_nulls", "n_after")
         labelled = map_genres(complete, genre_map, label2id)
         frames.append(labelled.select("src", "id", "text", "label"))
     rows = union_sources(frames)
     return dedup_keep_first(rows.where(F.col("text") != "") if drop_empty else rows, keep_text=keep_text)
 
 
+def balanced_keys(
+    pool: DataFrame,
+    eval_split: float | None = 0.15,
+    test_split: float | None = 0.15,
+    seed: int = DEFAULT_SEED,
+    replace: bool = True,
+) -> DataFrame:
+    """``src, id, draw, label, split`` of the balanced rows of a pool; no text is read."""
+    keys = stage_table(pool.select("src", "id", "label"))
+    drawn = stage_table(balance_classes(keys, "label", POOL_KEY, seed, replace))
+    return stratified_split(drawn, "label", ROW_KEY, eval_split, test_split, seed)
+
+
 def balanced_split(
     pool: DataFrame,
     eval_split: float | None = 0.15,
@@ -88,17 +109,23 @@ def balanced_split(
     seed: int = DEFAULT_SEED,
     replace: bool = True,
 ) -> DataFrame:
-    """Balanced and split rows of a staged pool: ``src, id, draw, label, split, text``.
+    """Balanced and split rows of a pool: ``src, id, draw, label, split, text``.
 
     Ranks, draws and cuts work on keys and labels alone. The text joins last, so it is
     shuffled once however many steps come before.
     """
-    keys = pool.select("src", "id", "label")
-    drawn = stage_table(balance_classes(keys, "label", POOL_KEY, seed, replace))
-    split = stratified_split(drawn, "label", ROW_KEY, eval_split, test_split, seed)
-    return split.join(pool.select("src", "id", "text"), ["src", "id"]).select(
-        *ROW_KEY, "label", "split", "text"
-    )
+    split = balanced_keys(pool, eval_split, test_split, seed, replace)
+    return split.join(pool.select("src", "id", "text"), ["src", "id"]).select(*ROW_KEY, "label", "split", "text")
+
+
+def counted_rows(pool: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
+    """The balanced rows with ``tf`` instead of their text.
+
+    Every text is tokenised once, where it is read, however often it is drawn and however
+    many steps use its terms; only its counted terms join the keys.
+    """
+    counted = term_frequencies(pool.select("src", "id", "text"), "text", stop_words).select("src", "id", "tf")
+    return stage_table(balanced_keys(pool).join(counted, ["src", "id"]))
 
 
 def harmonize(
@@ -112,8 +139,8 @@ def harmonize(
     apply_multilingual: bool = False,
     drop_empty: bool = False,
 ) -> DataFrame:
-    """G9 up to the split. The deduplicated pool is written once: four branches read it."""
-    pool = stage_table(clean_pool(sources, genre_map, label2id, apply_multilingual, drop_empty))
+    """G9 up to the split. The cleaned texts are written once, by the dedup; all branches read them."""
+    pool = clean_pool(sources, genre_map, label2id, apply_multilingual, drop_empty)
     return balanced_split(pool, eval_split, test_split, seed, replace)
 
 

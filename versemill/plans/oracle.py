@@ -6,6 +6,7 @@ class, cross products of queries and corpus, one pass per metric.
 
 from __future__ import annotations
 
+from versemill.operators.approx import BITS, PROBES, TABLES
 from versemill.plans.setup import GENRE_MAP, K, LABEL2ID, MODELS, N_LABELS, STOP_WORDS, TURN_BITS
 
 SEED = 42
@@ -158,6 +159,57 @@ raw_w AS (
   SELECT src, id, draw, split, term, term_id, (1 + ln(tf)) * idf AS w FROM terms JOIN vocab USING (term)
 )"""
 
+PASSES, PENALTY, PLACES = 15, 1e-4, 9
+
+
+def linear_sql(name: str, rows: str, terms: str) -> str:
+    """Weights of the linear model after each pass, as ``<name>_w<t>``.
+
+    ``rows``: ``id, label, split``; ``terms``: ``id, j, x``. Each weight moves by its gradient over a
+    bound of its curvature, with momentum; feature -1 is the intercept, without penalty.
+    """
+    out = [
+        f"{name}_x AS MATERIALIZED (SELECT id, j, x FROM {terms} UNION ALL SELECT id, -1, 1.0::DOUBLE FROM {rows})",
+        f"{name}_t AS MATERIALIZED (SELECT x.*, r.label FROM {name}_x x JOIN {rows} r USING (id) WHERE split = 'train')",
+        f"{name}_n AS (SELECT count(*)::DOUBLE AS n FROM {rows} WHERE split = 'train')",
+        f"{name}_c AS MATERIALIZED (SELECT DISTINCT label AS c FROM {name}_t)",
+        f"""{name}_d AS MATERIALIZED (
+  SELECT j, sum(x * reach) / (4 * any_value(n)) + any_value(p) AS d, any_value(p) AS p
+  FROM (SELECT *, CASE WHEN j < 0 THEN 0 ELSE {PENALTY}::DOUBLE END AS p FROM {name}_t)
+  JOIN (SELECT id, sum(x) AS reach FROM {name}_t GROUP BY id) USING (id), {name}_n GROUP BY j
+)""",
+        f"{name}_w0 AS MATERIALIZED (SELECT j, c, 0.0::DOUBLE AS w, 0.0::DOUBLE AS y FROM {name}_d, {name}_c)",
+    ]
+    for t in range(1, PASSES + 1):
+        out += [
+            f"{name}_m{t} AS MATERIALIZED (SELECT id, c, sum(x * y) AS m FROM {name}_t JOIN {name}_w{t - 1} USING (j) GROUP BY id, c)",
+            f"""{name}_w{t} AS MATERIALIZED (
+  SELECT j, c, y - (g + p * y) / d AS w, (y - (g + p * y) / d) + ({t} - 1) / ({t} + 2)::DOUBLE * ((y - (g + p * y) / d) - w) AS y
+  FROM {name}_w{t - 1} JOIN {name}_d USING (j) JOIN (
+    SELECT j, c, sum(x * (1 / (1 + exp(-m)) - CASE WHEN label = c THEN 1 ELSE 0 END)) / any_value(n) AS g
+    FROM {name}_t JOIN {name}_m{t} USING (id), {name}_n GROUP BY j, c
+  ) USING (j, c)
+)""",
+        ]
+    return ",\n".join(out)
+
+
+def linear_choice(name: str, rows: str, t: int, out: str) -> str:
+    """``out``: the class that the weights after pass ``t`` choose for every row."""
+    return f"""{out} AS MATERIALIZED (
+  SELECT id, label AS y_true, c AS y_pred, split FROM (
+    SELECT id, c, round(sum(x * w), {PLACES}) AS m FROM {name}_x JOIN {name}_w{t} USING (j) GROUP BY id, c
+  ) JOIN {rows} USING (id) QUALIFY row_number() OVER (PARTITION BY id ORDER BY m DESC, c) = 1
+)"""
+
+
+LINEAR = f"""{TFIDF},
+lin_rows AS MATERIALIZED (SELECT src || ':' || id || ':' || draw AS id, label, split FROM harm),
+lin_terms AS MATERIALIZED (
+  SELECT src || ':' || id || ':' || draw AS id, term_id AS j, w / sqrt(sum(w * w) OVER (PARTITION BY src, id, draw)) AS x FROM raw_w
+),
+{linear_sql("lin", "lin_rows", "lin_terms")}"""
+
 VECTORS = f"""emb AS (
   SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v, label FROM embeddings
 ),
@@ -224,14 +276,6 @@ sweep AS (
 
 BLEND = f"{VECTORS}, {EUC_HELD}, {centroid_sql('teacher')}, {SWEEP}"
 
-REGISTRY = f"""{VECTORS}, {EUC_HELD}, {VOTE}, {centroid_sql('teacher')}, {centroid_sql('student', 'euclidean')},
-reg AS (
-  SELECT 'knn_embeddings' AS model, id, y_true, y_pred FROM vote WHERE split = 'test'
-  UNION ALL SELECT 'teacher', id, y_true, y_pred FROM teacher WHERE split = 'test'
-  UNION ALL SELECT 'student', id, y_true, y_pred FROM student WHERE split = 'test'
-)"""
-
-
 def scores_sql(name: str, base: str, by: str) -> str:
     """Per-class F1 and recall over the union of labels, and accuracy with macro F1, per ``by``."""
     return f"""{name}_l AS (
@@ -258,6 +302,31 @@ def scores_sql(name: str, base: str, by: str) -> str:
 )"""
 
 
+TEXT_MODEL = f"""texts AS (SELECT es.id, es.label, es.split, coalesce(d.text, '') AS text FROM es LEFT JOIN documents d ON d.doc_id = es.id),
+{terms_sql('own_terms', 'texts', 'id, split')},
+own_train AS (SELECT * FROM own_terms WHERE split = 'train'),
+{vocab_sql('own_train', "(SELECT count(*) FROM texts JOIN documents ON doc_id = id WHERE split = 'train')")},
+text_terms AS MATERIALIZED (
+  SELECT id, term_id AS j, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS x
+  FROM (SELECT id, term_id, (1 + ln(tf)) * idf AS w FROM own_terms JOIN vocab USING (term))
+),
+{linear_sql('txt', 'texts', 'text_terms')},
+{linear_choice('txt', 'texts', PASSES, 'baseline')}"""
+
+MODELS_SQL = f"""{VECTORS}, {EUC_HELD}, {VOTE}, {centroid_sql('teacher')}, {centroid_sql('student', 'euclidean')}, {TEXT_MODEL},
+models AS (
+  SELECT 'knn_embeddings' AS model, id, y_true, y_pred FROM vote WHERE split = 'test'
+  UNION ALL SELECT 'baseline_tfidf', id, y_true, y_pred FROM baseline WHERE split = 'test'
+  UNION ALL SELECT 'teacher', id, y_true, y_pred FROM teacher WHERE split = 'test'
+  UNION ALL SELECT 'student', id, y_true, y_pred FROM student WHERE split = 'test'
+)"""
+REGISTRY = f"""{MODELS_SQL}, {SWEEP}, tested AS (SELECT * FROM sweep WHERE split = 'test'),
+{scores_sql('tried', 'tested', 'alpha')},
+reg AS (
+  SELECT * FROM models
+  UNION ALL SELECT 'hybrid', id, y_true, y_pred FROM tested
+  WHERE alpha = (SELECT alpha FROM tried ORDER BY round(macro_f1, 12) DESC, alpha LIMIT 1)
+)"""
 METRICS = f"{REGISTRY}, {scores_sql('m', 'reg', 'model')}"
 ALPHA_TEST = f"""{BLEND}, sweep_t AS (SELECT * FROM sweep WHERE split = 'test'),
 {scores_sql('a', 'sweep_t', 'alpha')}"""
@@ -276,6 +345,7 @@ NARROW = {
     "knn_cosine": "rank",
     "knn_euclidean": "rank",
     "knn_all_rows": "rank",
+    "knn_approx": "rank",
     "knn_with_metadata": "rank",
     "vote_distribution": "label",
     "uniform_probabilities": "label",
@@ -293,6 +363,18 @@ def _round(*names: str) -> str:
     return ", ".join(f"round({n}, 6) AS {n}" for n in names)
 
 
+def _compared(a: str, b: str) -> str:
+    lines = f"SELECT model, metric, value FROM (UNPIVOT m ON {', '.join(METRIC_NAMES)} INTO NAME metric VALUE value)"
+    return f"""WITH {METRICS}, l AS ({lines})
+SELECT metric, round(a.value, 6) AS a, round(b.value, 6) AS b, round(b.value - a.value, 6) AS delta
+FROM l a JOIN l b USING (metric) WHERE a.model = '{a}' AND b.model = '{b}'"""
+
+
+def _share(split: str, t: int) -> str:
+    right = "avg(CASE WHEN y_true = y_pred THEN 1.0::DOUBLE ELSE 0 END)"
+    return f"(SELECT round({right}, 6) FROM after{t} WHERE split = '{split}')"
+
+
 def _examples(relation: str) -> str:
     return f"""WITH {VECTORS}, {EUC}, {VOTE},
 chosen AS (SELECT * FROM vote WHERE y_pred {relation} y_true),
@@ -315,9 +397,6 @@ KEYED = f"{ROWS}, keyed AS (SELECT src || ':' || id || ':' || draw AS id, label,
 def sql() -> dict[str, str]:
     position = ", ".join(f"('{m}', {i})" for i, m in enumerate(MODELS))
     f1_cols = ", ".join(f"f1_{c}" for c in range(N_LABELS))
-    unpivot = lambda table, by: (
-        f"SELECT {by}, metric, value FROM (UNPIVOT {table} ON {', '.join(METRIC_NAMES)} INTO NAME metric VALUE value)"
-    )
     judged = (
         "judged AS (SELECT doc_id, text, source, lang, n_chars, quality, toxic"
         " FROM documents LEFT JOIN labels USING (doc_id))"
@@ -337,6 +416,15 @@ t AS (SELECT count(*) AS a, count(*) FILTER (text IS NOT NULL AND role IS NOT NU
 SELECT 0 AS src, 'filter_language' AS stage, a AS n_before, b AS n_after FROM d
 UNION ALL SELECT 0, 'drop_nulls', b, c FROM d
 UNION ALL SELECT 1, 'filter_language', a, a FROM t UNION ALL SELECT 1, 'drop_nulls', a, c FROM t""",
+        "harmonize_audit": """WITH d AS (SELECT count(*) AS a, count(*) FILTER (lang = 'en') AS b,
+  count(*) FILTER (lang = 'en' AND source IS NOT NULL AND n_chars IS NOT NULL) AS c FROM documents),
+t AS (SELECT count(*) AS a, count(*) FILTER (text IS NOT NULL AND role IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL) AS c FROM conversations)
+SELECT 0 AS src, 'filter_language' AS stage, a AS n_before, b AS n_after FROM d
+UNION ALL SELECT 0, 'drop_nulls', b, c FROM d
+UNION ALL SELECT 1, 'filter_language', a, a FROM t UNION ALL SELECT 1, 'drop_nulls', a, c FROM t""",
+        "custom_cleaner": "SELECT doc_id AS id, regexp_replace(lower(text), '[0-9]+', '#', 'g') AS text FROM documents",
+        "union_dedup_multilingual": f"""WITH {POOL.replace("SELECT src, id, text, " + strip_sql('lower(label)') + " FROM talks", "SELECT src, id, " + multilingual_sql('text') + ", " + strip_sql('lower(label)') + " FROM talks").replace("FROM mapped\n", "FROM mapped WHERE text <> ''\n").replace("WHERE text IS NOT NULL AND label IS NOT NULL AND conv_id", "WHERE label IS NOT NULL AND conv_id")}
+SELECT src, id, text, label FROM pool""",
         "union_sources": f"WITH {DOCS}, {TALKS} SELECT * FROM docs UNION ALL BY NAME SELECT * FROM talks",
         "union_dedup_first": f"WITH {POOL} SELECT src, id, text, label FROM pool",
         "class_counts": f"WITH {POOL} SELECT label, count(*) AS n FROM pool GROUP BY label",
@@ -399,6 +487,26 @@ SELECT id, c AS label, round(list_dot_product(v, center), 6) AS score FROM es, t
         "knn_euclidean": f"WITH {VECTORS}, {EUC} SELECT qid, rank, nid, round(distance, 6) AS distance FROM nn",
         "knn_all_rows": f"WITH {VECTORS}, {neighbors_sql('nn', 'list_cosine_distance', 'true')}"
         " SELECT qid, rank, nid, greatest(round(distance, 6), 0) AS distance FROM nn",
+        "knn_approx": f"""WITH {VECTORS},
+planes AS (
+  SELECT t, b, list(CASE WHEN substr(md5('{SEED}:' || t || ':' || b || ':' || i), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0 END ORDER BY i) AS n
+  FROM range({TABLES}) x(t), range({BITS}) y(b), range((SELECT max(len(v)) FROM es)) z(i) GROUP BY t, b
+),
+margins AS (SELECT id, split, t, b, list_dot_product(v, n) AS m FROM es, planes),
+own AS (
+  SELECT id, split, t, sum(CASE WHEN m > 0 THEN 1 << b ELSE 0 END)::BIGINT AS code, list(b ORDER BY abs(m), b) AS near
+  FROM margins GROUP BY id, split, t
+),
+probed AS (
+  SELECT id, t, xor(code, list_sum(list_transform(range({PROBES}), lambda p: CASE WHEN (f >> p) & 1 = 1 THEN 1 << near[p + 1] ELSE 0 END))::BIGINT) AS code
+  FROM own, range({1 << PROBES}) x(f) WHERE split = 'test'
+),
+met AS (SELECT DISTINCT p.id AS qid, c.id AS nid FROM probed p JOIN own c ON c.t = p.t AND c.code = p.code AND c.split = 'train'),
+near AS (
+  SELECT qid, nid, list_cosine_distance(q.v, c.v) AS distance FROM met JOIN es q ON q.id = qid JOIN es c ON c.id = nid
+)
+SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY distance, nid) AS rank, nid, round(distance, 6) AS distance
+FROM near QUALIFY rank <= {K}""",
         "knn_with_metadata": f"""WITH {VECTORS}, {COS}
 SELECT qid, rank, nid, round(distance, 6) AS distance, n_label, text AS n_text FROM nn LEFT JOIN documents ON doc_id = nid""",
         "neighbor_labels": f"""WITH {VECTORS}, {EUC}
@@ -438,9 +546,8 @@ FROM (SELECT DISTINCT model FROM reg) x CROSS JOIN c LEFT JOIN m_f1 f ON f.model
 SELECT a.model, a.label AS y_true, b.label AS y_pred, count(r.id) AS n
 FROM m_l a JOIN m_l b ON a.model = b.model
 LEFT JOIN reg r ON r.model = a.model AND r.y_true = a.label AND r.y_pred = b.label GROUP BY ALL""",
-        "compare_models": f"""WITH {METRICS}, l AS ({unpivot('m', 'model')})
-SELECT metric, round(a.value, 6) AS a, round(b.value, 6) AS b, round(b.value - a.value, 6) AS delta
-FROM l a JOIN l b USING (metric) WHERE a.model = 'teacher' AND b.model = 'student'""",
+        "compare_models": _compared("teacher", "student"),
+        "compare_neighbors_with_tfidf": _compared("baseline_tfidf", "knn_embeddings"),
         "compare_alphas_with_teacher": f"""WITH {ALPHA_TEST},
 tt AS (SELECT 'teacher' AS model, * FROM teacher WHERE split = 'test'), {scores_sql('t', 'tt', 'model')},
 l AS (SELECT alpha, 'accuracy' AS metric, accuracy AS a FROM a UNION ALL SELECT alpha, 'macro_f1', macro_f1 FROM a),
@@ -452,7 +559,8 @@ d AS (SELECT label, coalesce(max(f1) FILTER (model = 'teacher'), 0) AS f1_large,
   FROM m_f1 WHERE model IN ('teacher', 'student') GROUP BY label)
 SELECT label, {_round('f1_large', 'f1_small')}, round(f1_large - f1_small, 6) AS loss,
   row_number() OVER (ORDER BY round(d.f1_large - d.f1_small, 12) DESC, label) AS loss_rank FROM d""",
-        "leaderboard": f"""WITH {METRICS}, {SWEEP}, sweep_t AS (SELECT * FROM sweep WHERE split = 'test'),
+        "leaderboard": f"""WITH {MODELS_SQL}, {scores_sql('m', 'models', 'model')},
+{SWEEP}, sweep_t AS (SELECT * FROM sweep WHERE split = 'test'),
 {scores_sql('a', 'sweep_t', 'alpha')},
 best AS (SELECT 'hybrid_best_alpha_' || alpha AS model, accuracy, macro_f1, {f1_cols} FROM a
   ORDER BY round(macro_f1, 12) DESC, alpha LIMIT 1),
@@ -523,9 +631,20 @@ scored AS (
 kept AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY label ORDER BY score DESC, sample_rank, pos) <= 5)
 SELECT label, count(*)::INTEGER AS n_sentences, string_agg(text, ' ' ORDER BY sample_rank, pos) AS summary
 FROM kept GROUP BY label""",
-        "linear_tfidf_predictions": f"""WITH {ROWS}
-SELECT src || ':' || id || ':' || draw AS id, label AS y_true, true AS known_class FROM harm WHERE split = 'test'""",
-        "learning_curve": "SELECT unnest(range(1, 16))::INTEGER AS iteration, true AS train_beats_chance, true AS val_is_a_share",
+        "linear_tfidf_predictions": f"""WITH {LINEAR}, {linear_choice("lin", "lin_rows", PASSES, "chosen")}
+SELECT id, y_true, y_pred FROM chosen WHERE split = 'test'""",
+        "learning_curve": f"WITH {LINEAR}, "
+        + ", ".join(linear_choice("lin", "lin_rows", t, f"after{t}") for t in range(1, PASSES + 1))
+        + " UNION ALL ".join(
+            f"""{" SELECT * FROM (" if t == 1 else ""}SELECT {t}::INTEGER AS iteration, {_share('train', t)} AS train_acc, {_share('eval', t)} AS val_acc"""
+            for t in range(1, PASSES + 1)
+        )
+        + ")",
+        "feature_bundle": f"""WITH {TFIDF},
+t AS (SELECT src, id, draw, count(*) AS n FROM raw_w GROUP BY ALL)
+SELECT version::INTEGER AS version, src, id, draw, split, label, coalesce(n, 0)::INTEGER AS n_terms,
+  least(len({WORDS}), 128)::INTEGER AS n_words, (SELECT count(*) FROM vocab) AS n_vocabulary
+FROM harm LEFT JOIN t USING (src, id, draw), (VALUES (1), (2)) v(version) WHERE version = 2 OR split <> 'eval'""",
         "split_views": f"""WITH {TFIDF},
 t AS (SELECT src, id, draw, count(*) AS n FROM raw_w GROUP BY ALL)
 SELECT src, id, draw, label, coalesce(n, 0)::INTEGER AS n_terms, 128 AS n_ids,

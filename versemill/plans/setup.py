@@ -3,30 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from versemill.functions.vectors import argmax_class
-from versemill.operators.cleaning import MULTILINGUAL_SOURCE, TAGGED_LYRICS_SOURCE
 from versemill.operators.classify import (
+    LinearTextClassifier,
     alpha_sweep,
     centroid_scores,
     class_centroids,
     model_probabilities,
 )
+from versemill.operators.features import MAX_FEATURES, fitted, term_frequencies, tfidf_fit, tfidf_transform
+from versemill.operators.joins import broadcast_if_small
 from versemill.operators.knn import knn_join, majority_vote, neighbor_lists, vote_distribution
-from versemill.operators.metrics import prediction_registry
+from versemill.operators.metrics import align_truth, evaluate, prediction_registry
+from versemill.operators.report import best_alpha
 from versemill.operators.sampling import stratified_split
 from versemill.plans.harmonize import RawSource, clean_pool, harmonize
 from versemill.session import stage_table
-from versemill.sources.config import SourceConfig
+from versemill.sources.config import load_source_config
 from versemill.sources.tables import scan_source, spread_small_scan
 
 K = 5
 N_LABELS = 10
 TURN_BITS = 20
-STOP_WORDS = ("the", "of", "and", "in", "to", "is", "it", "on", "la", "le", "der", "die")
 
 # Class names and ids.
 LABEL2ID = {"rap": 0, "rock": 1, "pop": 2, "other": 3}
@@ -42,17 +45,10 @@ GENRE_MAP = {f"src{i}": genre for genre, ids in GENRE_OF_SOURCE.items() for i in
     "assistant": "other",
 }
 
-DOCUMENTS = SourceConfig(
-    name=TAGGED_LYRICS_SOURCE,
-    csv_name="documents",
-    cols_map={"source": "label"},
-    language_col="lang",
-    target_language="en",
-    vectorizer_config={"stop_words": list(STOP_WORDS)},
-)
-CONVERSATIONS = SourceConfig(
-    name=MULTILINGUAL_SOURCE, csv_name="conversations", cols_map={"role": "label", "lyrics": "text"}
-)
+_SOURCES = Path(__file__).parent / "sources"
+DOCUMENTS = load_source_config(_SOURCES / "documents.json")
+CONVERSATIONS = load_source_config(_SOURCES / "conversations.json")
+STOP_WORDS = tuple(DOCUMENTS.stop_words())
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,19 +182,56 @@ def swept(splits: DataFrame, neighbors: DataFrame) -> DataFrame:
     return rows.select("alpha_pos", "alpha", "split", "id", "y_true", "y_pred")
 
 
-MODELS = ("knn_embeddings", "teacher", "student")
+MODELS = ("knn_embeddings", "baseline_tfidf", "teacher", "student")
 
 
-def registry(splits: DataFrame, neighbors: DataFrame | None = None) -> DataFrame:
-    """Test predictions of all models; ``neighbors`` of the held-out rows if already there."""
-    if neighbors is None:
-        tested = neighbors_of(splits, "euclidean")
-    else:
-        tested = neighbors.where(F.col("split") == "test")
-    return prediction_registry(
-        {
-            "knn_embeddings": knn_predictions(tested),
-            "teacher": model_predictions(splits),
-            "student": model_predictions(splits, "euclidean"),
-        }
-    )
+def text_features(spark: SparkSession, sf_dir: str, splits: DataFrame) -> DataFrame:
+    """``id, label, split, term_ids, weights`` of the texts that go with the vectors.
+
+    The vocabulary is fitted on train. A vector without a text has no terms. Texts are read
+    past the vectors' ids, which are broadcast when they measure small.
+    """
+    ids = splits.select("id", "label", "split")
+    own = texts(spark, sf_dir).join(broadcast_if_small(ids), "id")
+    counted = term_frequencies(own, "text", STOP_WORDS).drop("text")
+    counted = stage_table(spread_small_scan(counted))
+    vocabulary = fitted(tfidf_fit(counted.where(F.col("split") == "train")))
+    rows = tfidf_transform(counted, vocabulary, ["id", "label", "split"])
+    return stage_table(ids.join(rows.drop("label", "split"), "id", "left"))
+
+
+def baseline_predictions(rows: DataFrame) -> DataFrame:
+    """The linear model on TF-IDF rows, fitted on train, over the test rows."""
+    model = LinearTextClassifier(MAX_FEATURES).fit(rows.where(F.col("split") == "train"))
+    tested = rows.where(F.col("split") == "test")
+    return align_truth(model.predict(tested), tested).select("id", "y_true", "y_pred")
+
+
+def hybrid_predictions(splits: DataFrame, neighbors: DataFrame) -> DataFrame:
+    """The blend at the alpha that does best on test."""
+    tested = stage_table(swept(splits, neighbors).where(F.col("split") == "test"))
+    scores = evaluate(tested, ["alpha_pos", "alpha"], range(N_LABELS))
+    best = best_alpha(scores).select("alpha")  # one row
+    return tested.join(F.broadcast(best), "alpha").select("id", "y_true", "y_pred")
+
+
+def registry(
+    spark: SparkSession,
+    sf_dir: str,
+    splits: DataFrame,
+    names: Sequence[str] = (*MODELS, "hybrid"),
+    neighbors: DataFrame | None = None,
+) -> DataFrame:
+    """Test predictions of the models asked for; ``neighbors`` of the held-out rows if already there."""
+    if neighbors is None and {"knn_embeddings", "hybrid"} & set(names):
+        tested = splits.where(F.col("split") == "test")
+        found = knn_join(tested, part(splits, "train"), K, "euclidean", query_cols=["split", "label"], corpus_cols=["label"])
+        neighbors = stage_table(found)
+    made = {
+        "knn_embeddings": lambda: knn_predictions(neighbors.where(F.col("split") == "test")),
+        "baseline_tfidf": lambda: baseline_predictions(text_features(spark, sf_dir, splits)),
+        "teacher": lambda: model_predictions(splits),
+        "student": lambda: model_predictions(splits, "euclidean"),
+        "hybrid": lambda: hybrid_predictions(splits, neighbors),
+    }
+    return prediction_registry({name: made[name]() for name in names})

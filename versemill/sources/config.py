@@ -42,15 +42,11 @@ class SourceConfig:
             )
 
     def stop_words(self) -> list[str]:
-        """The configured stop words; the name ``english`` selects Spark's own list."""
+        """The configured stop words. A bare name like ``english`` raises: lists of that name differ."""
         words = self.vectorizer_config.get("stop_words")
-        if words is None:
-            return []
         if isinstance(words, str):
-            from pyspark.ml.feature import StopWordsRemover
-
-            return list(StopWordsRemover.loadDefaultStopWords(words))
-        return list(words)
+            raise ValueError(f"source {self.name!r}: stop_words must list the words, {words!r} only names a list")
+        return list(words or ())
 
 
 def load_source_config(path: str | Path) -> SourceConfig:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Mapping
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from versemill.operators.linear import LinearWeights
+
 SPLITS = ("train", "eval", "test")
+_MANIFEST = "version int, name string, schema string"
 
 
 def scan_source(
@@ -59,6 +62,50 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("split") == split)
 
 
+def write_bundle(spark: SparkSession, path: str, tables: Mapping[str, DataFrame]) -> int:
+    """Several tables (vocabularies, features, labels, tokens) published as one version.
+
+    Every table is written first, by split where it has one; the manifest that names them comes
+    last and appears as a whole, so a reader never sees half a bundle. Versions count from 1 and
+    stay as they are. One writer at a time: a version that is there already is an error.
+    """
+    version = max(bundle_versions(spark, path), default=0) + 1
+    lines = []
+    for name, table in tables.items():
+        by_split = "split" in table.columns
+        writer = table.write.mode("errorifexists")
+        (writer.partitionBy("split") if by_split else writer).parquet(f"{path}/tables/{version}/{name}")
+        lines.append((version, name, table.schema.json()))
+    manifest = spark.createDataFrame(lines, _MANIFEST)
+    manifest.coalesce(1).write.mode("errorifexists").json(f"{path}/manifests/{version}")
+    return version
+
+
+def bundle_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions that are published under ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifests")
+    filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not filesystem.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in filesystem.listStatus(folder)]
+    done = lambda name: filesystem.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifests/{name}/_SUCCESS"))
+    return sorted(int(name) for name in names if name.isdigit() and done(name))
+
+
+def read_bundle(spark: SparkSession, path: str, name: str, split: str | None = None, version: int | None = None) -> DataFrame:
+    """A table of a published bundle, by default of the newest; a split nobody wrote is empty."""
+    if split is not None and split not in SPLITS:
+        raise ValueError(f"unknown split {split!r}, expected one of {SPLITS}")
+    if version is None:
+        version = max(bundle_versions(spark, path), default=0)
+    manifest = spark.read.schema(_MANIFEST).json(f"{path}/manifests/{version}").where(F.col("name") == name).first()
+    if manifest is None:
+        raise ValueError(f"version {version} of the bundle has no table {name!r}")
+    schema = T.StructType.fromJson(json.loads(manifest["schema"]))
+    table = spark.read.schema(schema).parquet(f"{path}/tables/{version}/{name}").select(*schema.names)
+    return table if split is None else table.where(F.col("split") == split)
+
+
 # The two names a split can be asked for in.
 SPLIT_FORMS = {
     "baseline": ("term_ids", "weights", "label"),
@@ -87,11 +134,11 @@ def materialise_embeddings(
     return spark.read.parquet(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model: LinearWeights, path: str) -> None:
     """Persist a fitted model."""
-    model.write().overwrite().save(path)
+    model.save(path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> LinearWeights:
     """Restore a model saved with :func:`save_model`."""
-    return PipelineModel.load(path)
+    return LinearWeights.load(path)
