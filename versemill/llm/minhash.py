@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from versemill.llm.components import connected_components
 from versemill.llm.words import gram_hashes, gram_weights, hashed_words, mixed, slices
-from versemill.operators.joins import broadcast_if_small
+from versemill.operators.joins import broadcast_if_small, lookup_join
 from versemill.session import Staging, stage_table
 
 PERMUTATIONS = 90
@@ -298,22 +298,21 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         large = staging.table(_open_members(members.where(F.col("n") > SMALL_BAND), to_pivot, labels))
         links = links.unionByName(staging.table(_block_links(large, texts, size, threshold, staging)))
         labels = connected_components(links)
-        # Classes of one row that are linked with nothing need no lookup.
+        # Rows without words, and classes of one row that are linked with nothing, need no lookup.
         rooted = classes.join(labels, "id", "left").where("copies > 1 OR root IS NOT NULL")
-        rooted = rooted.select(*set_key, F.coalesce("root", "id").alias("root"))
-        grouped = staging.table(rows.select("row", "doc_id", "text_key", *set_key).join(rooted, set_key, "left"))
+        rooted = broadcast_if_small(staging.table(rooted.select(*set_key, F.coalesce("root", "id").alias("root"))))
+        narrow = rows.select("row", "doc_id", "text_key", *set_key)
+        grouped = staging.table(narrow.where("n_shingles > 0").join(rooted, set_key, "left"))
+        connected = grouped.where("root IS NOT NULL")
         order = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("at"), "doc_id", "row")
-        firsts = grouped.where("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("f"))
-        firsts = firsts.select("root", F.col("f.doc_id").alias("f_id"), F.col("f.row").alias("f_row"))
-        result = grouped.join(firsts, "root", "left").select(
-            "row",
-            "doc_id",
-            "text_key",
-            "n_shingles",
-            F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("f_id")).alias("component_id"),
-            F.coalesce("f_row", "row").alias("first_row"),
-        )
-        return stage_table(result)
+        firsts = staging.table(connected.groupBy("root").agg(F.min(order).alias("f")).select("root", "f.doc_id", "f.row").toDF("root", "f_id", "f_row"))
+        # A component may hold most rows: its first row is broadcast, or copied to salts.
+        small = broadcast_if_small(firsts)
+        found = connected.join(small, "root") if small is not firsts else lookup_join(connected, firsts, "root", "row")
+        alone = grouped.where("root IS NULL").drop("root").unionByName(narrow.where("n_shingles = 0"))
+        alone = alone.withColumns({"f_id": F.col("doc_id"), "f_row": F.col("row")})
+        columns = ["row", "doc_id", "text_key", "n_shingles", F.col("f_id").alias("component_id"), F.col("f_row").alias("first_row")]
+        return stage_table(found.select(*columns).unionByName(alone.select(*columns)))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
