@@ -16,8 +16,8 @@ source's cut (about ``block_words`` words) are the only groups that meet in one
 sums over the blocks of a source are taken in two levels.
 
 Defined results: a null text has size 0, a null source is a source of its own and comes last,
-sources of size 0 get target 0, an empty table gives an empty mix, and equal rows are drawn
-equally often. Other columns are carried along; helper columns start with ``_x_``.
+sources of size 0 get target 0, an empty table gives an empty mix, and equal rows are
+drawn one by one, as if they were different. Other columns are carried along; helper columns start with ``_x_``.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from versemill.functions.binding import bind
 from versemill.operators.joins import broadcast_if_small
+from versemill.operators.ranks import ranked
 from versemill.session import Staging, stage_table
 
 # Parameters of the registered query.
@@ -61,6 +62,26 @@ def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     )
 
 
+def _repeated(rows: DataFrame, staging: Staging) -> DataFrame | None:
+    """The keys that several ``rows`` (a staged table) share, if there are any."""
+    keys = staging.table(rows.groupBy("_x_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_x_key"))
+    return broadcast_if_small(keys) if keys.limit(1).count() else None
+
+
+def _told_apart(rows: DataFrame, repeated: DataFrame | None, staging: Staging) -> DataFrame:
+    """``rows`` with equal rows numbered into their keys, so that each is drawn by itself.
+
+    Equal rows are interchangeable, so any numbering gives the same mix. They are numbered by
+    all tasks, however many are equal.
+    """
+    if repeated is None:
+        return rows
+    again = ranked(rows.join(repeated, "_x_key", "left_semi"), ["_x_key"], [], "_x_place", staging)
+    key = F.when(F.col("_x_place") > 0, F.xxhash64(F.lit(SEED), "_x_key", "_x_place")).otherwise(F.col("_x_key"))
+    again = again.withColumn("_x_key", key)
+    return rows.join(repeated, "_x_key", "left_anti").select(*rows.columns).unionByName(again.select(*rows.columns))
+
+
 def source_targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """One row a source: ``_x_source, rank, source_size, n_rows, target``.
 
@@ -354,8 +375,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # Packed, so that no column of theirs can be taken for one of the plan's.
     packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_x_row")
     rows = sized(docs, id_col, text_col, source_col).select("_x_source", "_x_size", "_x_key", packed)
-    with Staging(docs.sparkSession) as staging:
-        sources, blocks = mix_plan(staging.table(rows.drop("_x_row")), **parameters)
+    staging = Staging(docs.sparkSession)  # the tables of the plan belong to the result
+    keys = staging.table(rows.drop("_x_row"))
+    repeated = _repeated(keys, staging)
+    sources, blocks = mix_plan(_told_apart(keys, repeated, staging), **parameters)
+    rows = _told_apart(rows, repeated, staging)
     seed = parameters.get("seed", SEED)
     draws = drawn(rows, sources, blocks).select("_x_row", "_x_key", F.explode("draws").alias("_x_draw"))
     order = F.xxhash64(F.lit(seed), F.col("_x_draw.shard"), F.col("_x_draw.pass"), "_x_key")
@@ -371,7 +395,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **parameters) -> DataFrame:
     """``doc_id, size, source_size, target, taken, shards``: what :func:`mix` takes of every row."""
     rows = sized(docs, id_col, text_col, source_col)
-    rows = stage_table(rows.select(F.col(id_col).alias("doc_id"), "_x_source", "_x_size", "_x_key"))
+    staging = Staging(docs.sparkSession)
+    rows = staging.table(rows.select(F.col(id_col).alias("doc_id"), "_x_source", "_x_size", "_x_key"))
+    rows = _told_apart(rows, _repeated(rows, staging), staging)
     placed = drawn(rows, *mix_plan(rows, **parameters))
     return placed.select(
         "doc_id",
