@@ -11,7 +11,7 @@ up to two windows of words less the seed. Occurrences with equal seed and equal
 repeat and are settled by the smallest id among them. Only the first occurrence of each reach
 is then compared window by window with the other reaches of its seed. Seeds, reaches and
 windows are counted by aggregates that combine before their shuffle and come back in joins
-whose hot keys adaptive execution splits; occurrences of a passage are never paired with each
+to which the hot keys, known by their counts, are broadcast; occurrences of a passage are never paired with each
 other, so a passage in a third of all documents costs a row an occurrence. What is removed of
 a document is the union of its repeats, its maximal repeats.
 
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from versemill.llm.exact import normalised
 from versemill.llm.words import SPACE, byte_offsets, gram_hashes, hash_words, mixed, slices, split_words
-from versemill.operators.joins import broadcast_if_small
+from versemill.operators.joins import broadcast_if_small, spread_join
 from versemill.session import Staging, stage_table
 
 WINDOW = 50
@@ -214,28 +214,31 @@ def repeats(units: DataFrame, texts_of: Callable[[DataFrame], DataFrame], stagin
 
     ``units``: ``unit, lead, seeds``; ``texts_of(frame)`` joins texts to a frame with ``unit``.
     """
+    seeds = units.select("unit", "lead", F.inline("seeds"))
     places = staging.table(
-        units.select("unit", "lead", F.inline("seeds")).join(_shared(units), "seed").select("unit", "lead", "seed", "reach", "start", "n")
+        spread_join(seeds, staging.table(_shared(units)), ["seed"], "n_seeds").select("unit", "lead", "seed", "reach", "start", "n")
     )
     # A reach is settled by its smallest lead.
-    reaches = places.groupBy("seed", "reach").agg(F.min("lead").alias("first_lead"))
+    reaches = places.groupBy("seed", "reach").agg(F.min("lead").alias("first_lead"), F.count(F.lit(1)).alias("n_places"))
+    reaches = staging.table(reaches)
     several = reaches.groupBy("seed").agg(F.count(F.lit(1)).alias("n_reaches"))
-    reaches = staging.table(reaches.join(several, "seed").select("seed", "reach", "first_lead", "n_reaches"))
-    judged = staging.table(places.join(reaches, ["seed", "reach"]))
+    reaches = staging.table(reaches.join(several, "seed"))
+    judged = staging.table(spread_join(places, reaches, ["seed", "reach"], "n_places"))
     settled = judged.where("lead > first_lead").select("unit", "start", "n")
     # The first occurrences of reaches that share their seed with another reach.
     open_places = judged.where("lead = first_lead AND n_reaches > 1")
     opened = open_places.groupBy("unit", "lead").agg(F.collect_set("start").alias("open_seeds"))
     hashes = staging.table(_window_hashes(texts_of(staging.table(opened)), window, seed))
-    firsts = hashes.groupBy("w", "s").agg(F.min("lead").alias("m"), F.max("lead").alias("l")).where("m < l")
-    found = hashes.join(firsts.select("w", "s", "m"), ["w", "s"]).where("lead > m")
+    firsts = hashes.groupBy("w", "s").agg(F.min("lead").alias("m"), F.max("lead").alias("l"), F.count(F.lit(1)).alias("n_windows")).where("m < l")
+    found = spread_join(hashes, staging.table(firsts.drop("l")), ["w", "s"], "n_windows").where("lead > m")
     return settled.unionByName(found.select("unit", "start", F.lit(1).alias("n")))
 
 
 def _shared(units: DataFrame) -> DataFrame:
-    """Seeds that stand in units with different leads."""
+    """Seeds that stand in units with different leads, and how often they stand there."""
     marks = units.select("lead", F.explode("seeds.seed").alias("seed"))
-    return marks.groupBy("seed").agg(F.min("lead").alias("m"), F.max("lead").alias("l")).where("m < l").select("seed")
+    counted = marks.groupBy("seed").agg(F.min("lead").alias("m"), F.max("lead").alias("l"), F.count(F.lit(1)).alias("n_seeds"))
+    return counted.where("m < l").select("seed", "n_seeds")
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED_WORDS) -> DataFrame:
