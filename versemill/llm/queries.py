@@ -103,7 +103,6 @@ def op9_secret_scan(spark, sf):
 @query
 def op10_license_scan(spark, sf):
     found = licenses.scan_licenses(documents(spark, sf).select("doc_id", "text"), keep_text=False)
-    blocks = F.filter("blocks", lambda b: b["containment"] >= licenses.CONTAINMENT)
     named = lambda *arrays: F.array_join(F.array_sort(F.array_distinct(F.concat(*arrays))), ",")
     labels = F.transform("places", lambda p: p["label"])
     n_base = F.size("places").cast("long")
@@ -115,7 +114,7 @@ def op10_license_scan(spark, sf):
         F.array_min(F.transform("places", lambda p: p["word"])).alias("first_word"),
         F.array_max(F.transform("places", lambda p: p["word"])).alias("last_word"),
         named(labels).alias("base_labels"),
-        named(labels, F.transform(blocks, lambda b: b["label"])).alias("labels"),
+        named(labels, F.transform("blocks", lambda b: b["label"])).alias("labels"),
         F.when(n_base > 0, F.lit(1.0)).otherwise(best).alias("score"),
     )
 
