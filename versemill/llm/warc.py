@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from versemill.operators.joins import broadcast_if_small
+from versemill.operators.joins import broadcast_if_small, lookup_join
 from versemill.session import Staging, stage_table
 
 ARCHIVE_BYTES = 32 << 20
@@ -299,8 +299,13 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         records = staging.table(read_archives(spark, path))
         page = F.element_at(F.col("metadata")[0]["fields"], "page-id").cast("long")
         captures = staging.table(assemble_captures(records).withColumn("page_id", page))
-        # Only responses that a revisit names are looked up.
+        # Only revisits look for their response; one that very many name is salted.
         originals = captures.where("type = 'response'").select(
             F.col("record_id").alias("refers_to"), F.col("page_id").alias("refers_to_page")
         )
-        return stage_table(captures.join(originals, "refers_to", "left"))
+        revisits = captures.where("refers_to IS NOT NULL")
+        named = staging.table(revisits.select("record_id", "refers_to"))
+        asked = originals.join(broadcast_if_small(staging.table(named.select("refers_to").distinct())), "refers_to", "left_semi")
+        found = lookup_join(named, asked, "refers_to", "record_id").drop("refers_to")
+        others = captures.where("refers_to IS NULL").withColumn("refers_to_page", F.lit(None).cast("long"))
+        return stage_table(others.unionByName(revisits.join(broadcast_if_small(staging.table(found)), "record_id")))
