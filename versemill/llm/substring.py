@@ -40,6 +40,8 @@ from versemill.session import Staging, stage_table
 
 WINDOW = 50
 SEED_WORDS = 10
+#: Texts are cut into words this many bytes at a time; a worker holds some forty times as much.
+SLICE_BYTES = 2 << 20
 LAST_ID = 2**63 - 1
 _POWER = np.uint64(0xD1342543DE82EF95)
 _POWER_BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 2**64))
@@ -121,7 +123,7 @@ def document_seeds(docs: DataFrame, id_col: str, text_col: str, window: int, see
     """``doc_id, text_key, words_sha256, n_words, seeds`` of every row."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             found = Windows(batch.column("text"), window, seed)
             rows = found.seeds()
             cuts = np.searchsorted(rows["text"], np.arange(batch.num_rows + 1))
@@ -188,7 +190,7 @@ def _cut_texts(texts: DataFrame, window: int) -> DataFrame:
     """``unit, n_removed, kept_sha256`` of ``texts`` (``unit, text, gone array<struct<start, n>>``)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             data, places = byte_offsets(batch.column("text"))
             starts, ends, begins = split_words(data, places, ~SPACE[data])
             raw, removed, digests = data.tobytes(), [], []
