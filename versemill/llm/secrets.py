@@ -19,6 +19,7 @@ other columns are carried along; a column that has the name of the result alread
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,9 +89,22 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return (len(compress(data)) - len(compress(b""))) / len(data)
 
 
+def _united(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that ``spans``, sorted by start, cover together."""
+    starts, ends = [], []
+    for start, end, _ in spans:
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Candidates after a sensitive word whose novelty is at least ``NOVELTY``."""
     found, seen = [], -1
+    starts, ends = _united(known)
     for word in SENSITIVE.finditer(text):
         for m in CANDIDATE.finditer(text, max(word.start(), seen), word.end() + CONTEXT + 4 * LEAST_NOVEL):
             if m.start() > word.end() + CONTEXT:
@@ -99,7 +113,8 @@ def novel_spans(text: str, known: list[tuple[int, int, str]]) -> list[tuple[int,
             start, end = m.start(), CANDIDATE.match(text, m.start()).end()
             seen = end
             value = text[start:end]
-            if any(a < end and start < b for a, b, _ in known):
+            near = bisect_right(ends, start)
+            if near < len(starts) and starts[near] < end:
                 continue
             if not (re.search(r"[0-9]", value) and re.search(r"[A-Za-z]", value)):
                 continue
