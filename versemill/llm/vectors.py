@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from versemill.llm.components import connected_components
 from versemill.operators.joins import broadcast_if_small
@@ -61,7 +62,8 @@ class Quantiser:
     def probes(self, unit: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
         """``(vector, list)`` of all lists that can hold a vector within ``radius``."""
         own, square = self.lists(unit)
-        apart = np.sqrt(np.maximum(((self.centres[own][:, None] - self.centres[None]) ** 2).sum(2), 0))
+        lengths = (self.centres**2).sum(1)
+        apart = np.sqrt(np.maximum(lengths[own][:, None] + lengths - 2 * self.centres[own] @ self.centres.T, 0))
         beyond = square - square[np.arange(len(own)), own][:, None]
         return np.nonzero(beyond <= 2 * radius * apart + 1e-9)
 
@@ -109,8 +111,9 @@ def fit_quantiser(unit: np.ndarray, n_lists: int, seed: int = 8) -> Quantiser:
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
-    """Unit rows of packed double vectors of one length."""
-    rows = np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(-1, size)
+    """Unit rows, in double precision, of packed vectors of one length."""
+    packed = column.to_pylist()
+    rows = np.frombuffer(b"".join(packed), "<f4" if len(packed[0]) == 4 * size else "<f8").reshape(-1, size).astype(np.float64)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -134,8 +137,11 @@ def fit_quantisers(classes: DataFrame, sample_rows: int) -> dict[int, Quantiser]
     return models
 
 
-def _index_rows(classes: DataFrame, models: dict[int, Quantiser], radius: float) -> DataFrame:
-    """Index and query rows: ``label, size, list, query, cls, n, vector, codes, error``."""
+def _index_rows(classes: DataFrame, models: dict[int, Quantiser], radius: float, single: bool) -> DataFrame:
+    """Index and query rows: ``label, size, list, query, cls, n, vector, codes, error``.
+
+    ``single`` tells that the vectors came in single precision, in which they travel without loss.
+    """
     schema = "label int, size int, list int, query boolean, cls bigint, n bigint, vector binary, codes binary, error double"
 
     def rows_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -143,7 +149,7 @@ def _index_rows(classes: DataFrame, models: dict[int, Quantiser], radius: float)
         for size in sorted(set(sizes.tolist())):
             part = batch.filter(pa.array(sizes == size))
             values = np.asarray(part.column("vector").flatten(), np.float64).reshape(-1, size)
-            packed = pa.array([v.tobytes() for v in values], pa.binary())
+            packed = pa.array([v.tobytes() for v in (values.astype("<f4") if single else values)], pa.binary())
             unit = values / np.linalg.norm(values, axis=1, keepdims=True)
             model = models.get(size)
             if model is None:
@@ -258,6 +264,7 @@ def linked_vectors(
 ) -> DataFrame:
     """``vec_id, n_links, component_id`` for every row of ``vectors``."""
     radius = (2 - 2 * cosine) ** 0.5
+    single = vectors.schema[vector_col].dataType.elementType == T.FloatType()
     with Staging(vectors.sparkSession) as staging:
         rows = staging.table(
             vectors.select(
@@ -280,7 +287,7 @@ def linked_vectors(
             .agg(F.min("row").alias("cls"), F.count(F.lit(1)).alias("n"), F.min(F.coalesce("vec_id", F.lit(LAST_ID))).alias("least"))
         )
         models = fit_quantisers(classes, sample_rows)
-        index = staging.table(_index_rows(classes, models, radius * slack))
+        index = staging.table(_index_rows(classes, models, radius * slack, single))
         found = staging.table(_links(_in_block_pairs(index), models, cosine, radius))
         counts = found.where("b IS NULL").groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("links"))
         roots = connected_components(found.where("b IS NOT NULL").select("a", "b"))
@@ -292,8 +299,10 @@ def linked_vectors(
         rooted = staging.table(rooted)
         firsts = rooted.groupBy("root").agg(F.min("least").alias("first"))
         known = rooted.join(firsts, "root").select("label", "vector", "n_links", "first")
-        joined = good.join(known, ["label", "vector"], "left")
-        result = joined.select(
+        # Vectors that cannot be compared look nothing up: their keys hold nulls.
+        nothing = good.where("NOT usable").select("vec_id", F.lit(None).cast("long").alias("n_links"), F.lit(None).cast("long").alias("first"))
+        met = good.where("usable").join(known, ["label", "vector"]).select("vec_id", "n_links", "first")
+        result = met.unionByName(nothing).select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.when(F.col("first").isNull() | (F.col("first") == LAST_ID), F.col("vec_id")).otherwise(F.col("first")).alias("component_id"),
