@@ -185,3 +185,16 @@ def test_rows_of_cells_out_of_reach_are_not_shuffled(spark, path):
     groups = rows.mapInArrow(knn._corpus_groups(layout, 2), "groups array<long>, nid long, vector array<float>")
     assert groups.count() < 2999 / 2
     assert found(knn.knn_join(q, c, 5, "euclidean")) == brute(data[:1], data[1:], 5, "euclidean", list(range(2999)))
+
+
+def test_queries_are_copied_once_a_pack_of_cells(spark, monkeypatch):
+    monkeypatch.setattr(knn, "MIN_BLOCKS", 2, raising=False)
+    rng = np.random.default_rng(11)
+    corpus, queries = rng.normal(size=(3000, 8)), rng.normal(size=(50, 8))
+    q, c = frame(spark, queries, 10_000), frame(spark, corpus)
+    layout = knn.plan_cells(q, c, 5, "cosine", "id", "embedding")
+    assert len(layout.pivots) >= 10
+    rows = q.selectExpr("xxhash64('batch', id) as spread", "id as qid", "embedding as vector")
+    groups = rows.mapInArrow(knn._query_groups(layout, 2), "groups array<long>, bound double, qid long, vector array<float>")
+    assert max(r[0] for r in groups.selectExpr("size(groups)").collect()) <= 4
+    assert found(knn.knn_join(q, c, 5, "cosine")) == brute(queries, corpus, 5, "cosine", list(range(3000)))

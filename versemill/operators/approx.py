@@ -170,15 +170,13 @@ def knn_join_approx(
     left_schema = T.StructType([group, *left.schema.fields[1:]])
 
     def search(q: pa.Table, c: pa.Table) -> pa.Table:
-        at_q, at_c, distance = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        found = ()
         if q.num_rows and c.num_rows:
             order = np.unique(c.column("nid").to_numpy(), return_inverse=True)[1]
             one = knn.searchable(knn.matrix_of(q.column("vector")), "cosine", is_query=True)
             two = knn.searchable(knn.matrix_of(c.column("vector")), "cosine", is_query=False)
-            found = list(knn.nearest_in_block(one, np.full(len(one), np.inf), two, order, "cosine", k))
-            at_q, at_c, distance = (np.concatenate(parts) for parts in zip(*found))
-        q, c = q.take(pa.array(at_q)), c.take(pa.array(at_c))
-        return pa.table([q.column("qid"), c.column("nid"), pa.chunked_array([pa.array(distance)]), *[c.column(n) for n in names]], names=schema.names)
+            found = knn.nearest_in_block(one, np.full(len(one), np.inf), two, order, "cosine", k)
+        return knn.joined_pairs(q.drop_columns(["vector"]), c.drop_columns(["vector"]), found, schema.names)
 
     tasks = int(min(knn.MAX_TASKS, max(1, (layout.blocks * layout.batches).sum())))
     placed_left = left.mapInArrow(_assigned(layout, left_schema, True), left_schema).repartition(tasks, "group").groupBy("group")
