@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -177,3 +178,20 @@ def test_quantised_search_finds_planted_links():
         assert sum((a, own[b]) in probed for a, b in links) >= recall * len(links)
     for a, b in list(links)[:200]:
         assert model.distances(unit[a : a + 1], own[b], codes[b : b + 1])[0, 0] <= radius + error[b] + 1e-9
+
+
+def test_ascii_texts_split_into_the_same_words():
+    find = bpe.tokenizer(PATH).find_words
+    texts = ["".join(t) for t in itertools.product(map(chr, range(128)), " a1.'\n\x1c\x85"[:7], " s")] + ["it's  we'll\t\n x", " 'd'D 12ab", "\x1c \x1f"]
+    assert all(t.isascii() and bpe.ASCII_PATTERN.findall(t) == find(t) for t in texts)
+
+
+def test_words_used_lately_outlive_a_full_cache(monkeypatch):
+    model = bpe.Tokenizer(PATH)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2 * bpe.WORD_BYTES)
+    asked, encode = [], model.encode_words
+    monkeypatch.setattr(model, "encode_words", lambda words: asked.extend(words) or encode(words))
+    texts = ["again one", "again two", "again three", "again four"]
+    want = [_library().encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(model.encode([t])[0], "<u4").tolist() for t in texts] == want
+    assert asked.count("again") == 1 and len(model._cache) + len(model._older) <= 4

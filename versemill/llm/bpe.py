@@ -10,8 +10,8 @@ may stand side by side when no merge across their border would have come before
 that built them.
 
 Encoding needs no shuffle: tasks encode the texts they read, slice by slice. A worker remembers
-encoded words up to ``CACHE_BYTES`` and tested pairs of tokens up to ``CACHED_PAIRS``, and then
-starts anew. Texts far longer than ``PIECE_CHARS`` are split into words piece by piece, between
+encoded words up to ``CACHE_BYTES``, of which the half that was not used lately goes, and tested
+pairs of tokens up to ``CACHED_PAIRS``, and then starts anew. Texts far longer than ``PIECE_CHARS`` are split into words piece by piece, between
 letters and a space. A round trip encodes and decodes in the same worker, so ids and decoded
 texts never wait for a second one; decoding alone loads only the bytes of the tokens.
 
@@ -37,13 +37,15 @@ from pyspark.sql import types as T
 
 from versemill.llm.words import byte_offsets, slices
 
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 64 << 20
 #: What a remembered word costs besides its characters and ids: two objects and their place.
 WORD_BYTES = 220
 CACHED_PAIRS = 300_000
 PIECE_CHARS = 1 << 20
 # Fixed value: how byte-level BPE splits a text into words.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts of ASCII characters alone.
+ASCII_PATTERN = re.compile(WORD_PATTERN.replace(r"[^\s\p{L}\p{N}]", "[^\\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]"), re.ASCII)
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -82,14 +84,18 @@ class Tokenizer:
             sound.append(sound[left] and sound[right] and self._side_by_side(left, right, token))
         self.by_bytes = {as_bytes(name): token for token, name in enumerate(names) if sound[token]}
         self.size = {token: len(text) for text, token in self.by_bytes.items()}
-        # Tokens that end in the same two bytes are no longer than this.
-        self.reach: dict[bytes, int] = {}
+        # Lengths of the tokens of three bytes or more by their last three, longest first.
+        lengths: dict[bytes, set[int]] = {}
         for text in self.by_bytes:
-            self.reach[text[-2:]] = max(self.reach.get(text[-2:], 1), len(text))
+            if len(text) > 2:
+                lengths.setdefault(text[-3:], set()).add(len(text))
+        self.lengths = {end: tuple(sorted(found, reverse=True)) for end, found in lengths.items()}
         self.find_words = regex.compile(WORD_PATTERN).findall
         self.split_specials = re.compile("(" + "|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) + ")") if self.specials else None
+        self.path = path
         self._pairs: dict[int, bool] = {}
         self._cache: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._cache_size = 0
 
     def _side_by_side(self, left: int, right: int, limit: int) -> bool:
@@ -121,7 +127,7 @@ class Tokenizer:
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of each distinct word, by a depth-first walk over the words' trie."""
-        by_bytes, reach, may_follow = self.by_bytes, self.reach, self._may_follow
+        token_of, lengths, pairs, may_follow = self.by_bytes.get, self.lengths.get, self._pairs, self._may_follow
         found: dict[str, bytes] = {}
         path, last = b"", []  # last[i]: last token of the encoding of path[:i + 1]
         for word, text in sorted(((w, w.encode()) for w in words), key=lambda x: x[1]):
@@ -132,11 +138,16 @@ class Tokenizer:
                 shared += 1
             del last[shared:]
             for end in range(shared + 1, len(text) + 1):
-                for start in range(max(0, end - reach.get(text[max(end - 2, 0) : end], 1)), end):
-                    token = by_bytes.get(text[start:end])
-                    if token is not None and (not start or may_follow(last[start - 1], token)):
-                        last.append(token)
-                        break
+                for size in (*lengths(text[end - 3 : end], ()), 2, 1) if end > 2 else (2, 1)[2 - end :]:
+                    start = end - size
+                    if start < 0 or (token := token_of(text[start:end])) is None:
+                        continue
+                    if start:
+                        allowed = pairs.get(last[start - 1] << 32 | token)
+                        if not (may_follow(last[start - 1], token) if allowed is None else allowed):
+                            continue
+                    last.append(token)
+                    break
             path = text
             tokens, end = [], len(text)
             while end:
@@ -151,15 +162,16 @@ class Tokenizer:
             if part in self.specials:
                 yield self.specials[part]
                 continue
+            find_words = ASCII_PATTERN.findall if part.isascii() else self.find_words
             start = 0
             while len(part) - start > 2 * PIECE_CHARS:
                 # A word never reaches over a space between two letters.
                 border = _BORDER.search(part, start + PIECE_CHARS)
                 if not border:
                     break
-                yield self.find_words(part, start, border.start() + 1)
+                yield find_words(part, start, border.start() + 1)
                 start = border.start() + 1
-            yield self.find_words(part, start)
+            yield find_words(part, start)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed as little-endian unsigned 32-bit numbers.
@@ -185,11 +197,16 @@ class Tokenizer:
             packed.append(b"".join(parts))
         return packed
 
+    def decode(self, packed: bytes) -> str:
+        """The text that packed ids stand for."""
+        return decoder(self.path).decode(packed)
+
     def _learn(self, words: set[str]) -> None:
         new = words.difference(self._cache)
-        if new and self._cache_size > CACHE_BYTES:
-            self._cache, self._cache_size, new = {}, 0, words
-        learned = self.encode_words(new)
+        if new and self._cache_size > CACHE_BYTES // 2:
+            self._older, self._cache, self._cache_size, new = self._cache, {}, 0, words
+        learned = {word: self._older[word] for word in new if word in self._older}
+        learned |= self.encode_words(new.difference(learned))
         self._cache |= learned
         self._cache_size += sum(2 * len(word) + len(ids) + WORD_BYTES for word, ids in learned.items())
 
@@ -202,12 +219,23 @@ class Decoder:
             spec = json.load(file)
         specials = {t["id"]: t["content"].encode() for t in spec.get("added_tokens") or ()}
         byte_of = _byte_of_character()
-        self.token_bytes = {i: bytes(map(byte_of.__getitem__, name)) for name, i in spec["model"]["vocab"].items() if i not in specials}
-        self.token_bytes |= specials
+        token_bytes = {i: bytes(map(byte_of.__getitem__, name)) for name, i in spec["model"]["vocab"].items() if i not in specials}
+        token_bytes |= specials
+        self.sizes = np.zeros(max(token_bytes) + 1, np.int64)
+        for i, text in token_bytes.items():
+            self.sizes[i] = len(text)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(token_bytes.get(i, b"") for i in range(len(self.sizes))), np.uint8)
 
     def decode(self, packed: bytes) -> str:
-        ids = np.frombuffer(packed, "<u4").tolist()
-        return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+        """The tokens' bytes are picked ``PIECE_CHARS`` tokens at a time."""
+        ids = np.frombuffer(packed, "<u4")
+        return b"".join(self._bytes(ids[at : at + PIECE_CHARS]) for at in range(0, len(ids), PIECE_CHARS)).decode("utf-8", "replace")
+
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)  # of at least one token
+        return self.data[np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends + sizes, sizes)].tobytes()
 
 
 _BORDER = regex.compile(r"\p{L}(?= \p{L})")
