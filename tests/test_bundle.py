@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from versemill.operators import cleaning
-from versemill.plans import setup
+from versemill.plans import catalog, setup
 from versemill.plans.harmonize import clean_pool
+from versemill.session import stage_table
 from versemill.sources import tables
 from versemill.sources.config import SourceConfig
 
@@ -63,3 +66,18 @@ def test_a_bare_stop_word_name_raises():
     assert SourceConfig("s").stop_words() == []
     with pytest.raises(ValueError, match="english"):
         SourceConfig("s", vectorizer_config={"stop_words": "english"}).stop_words()
+
+
+def test_texts_that_lie_together_are_counted_by_many_tasks(spark, tmp_path, monkeypatch):
+    parts = 2 * spark.sparkContext.defaultParallelism
+    rows = spark.range(20 * parts).selectExpr("id AS doc_id", "concat('word', id % 7, ' other') AS text")
+    rows.repartitionByRange(parts, "doc_id").write.parquet(f"{tmp_path}/documents.parquet")
+    splits = spark.range(20).selectExpr("id", "int(id % 2) AS label", "if(id < 15, 'train', 'test') AS split")
+    written = []
+    monkeypatch.setattr(setup, "stage_table", lambda df: written.append(df) or stage_table(df))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert setup.text_features(spark, str(tmp_path), splits).where("size(term_ids) = 3").count() == 20
+        assert written[0].select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

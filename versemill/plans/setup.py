@@ -189,12 +189,12 @@ def text_features(spark: SparkSession, sf_dir: str, splits: DataFrame) -> DataFr
     """``id, label, split, term_ids, weights`` of the texts that go with the vectors.
 
     The vocabulary is fitted on train. A vector without a text has no terms. Texts are read
-    past the vectors' ids, which are broadcast when they measure small.
+    past the vectors' ids, which are broadcast when they measure small. The texts found may
+    all lie in one part of one file, so they are dealt out by id before their terms are counted.
     """
     ids = splits.select("id", "label", "split")
-    own = texts(spark, sf_dir).join(broadcast_if_small(ids), "id")
-    counted = term_frequencies(own, "text", STOP_WORDS).drop("text")
-    counted = stage_table(spread_small_scan(counted))
+    own = texts(spark, sf_dir).join(broadcast_if_small(ids), "id").repartition("id")
+    counted = stage_table(term_frequencies(own, "text", STOP_WORDS).drop("text"))
     vocabulary = fitted(tfidf_fit(counted.where(F.col("split") == "train")))
     rows = tfidf_transform(counted, vocabulary, ["id", "label", "split"])
     return stage_table(ids.join(rows.drop("label", "split"), "id", "left"))
