@@ -81,3 +81,30 @@ def test_texts_that_lie_together_are_counted_by_many_tasks(spark, tmp_path, monk
         assert written[0].select(F.spark_partition_id()).distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_both_versions_share_one_making_of_the_features(spark, tmp_path, monkeypatch):
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('word', id, ' other') AS text", "'en' AS lang", "concat('src', id % 18) AS source", "10L AS n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    talks = spark.range(40).selectExpr("id AS conv_id", "0L AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('talk', id, ' more') AS text")
+    talks.write.parquet(f"{tmp_path}/conversations.parquet")
+    features_made, tokens_made = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def counted(table, made):
+        def passing(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        return table.mapInArrow(passing, table.schema)
+
+    def encode(*args):
+        data = encoded(*args)
+        return replace(data, features=counted(data.features, features_made), tokens=counted(data.tokens, tokens_made))
+
+    encoded = catalog.encode
+    monkeypatch.setattr(catalog, "encode", encode)
+    found = catalog.QUERIES["feature_bundle"](spark, str(tmp_path)).groupBy("version").count().collect()
+    n = {r["version"]: r["count"] for r in found}
+    assert 0 < n[1] < n[2]
+    assert (features_made.value, tokens_made.value) == (n[2], n[2])

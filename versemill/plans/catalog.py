@@ -555,9 +555,14 @@ def _own_path(spark):
 
 @query
 def feature_bundle(spark, sf):
-    """Two versions of the features and encodings, the first without evaluation rows, read back."""
+    """Two versions of the features and encodings, the first without evaluation rows, read back.
+
+    Features and encodings are made once, for all rows; both versions take theirs from them.
+    """
     data = encode(setup.harmonized(spark, sf), setup.STOP_WORDS)
     path, key = _own_path(spark), list(ROW_KEY)
+    features = stage_table(data.features.drop("label"), partition_by=("split",))
+    tokens = stage_table(data.rows.select(*key, "split").join(data.tokens, key), partition_by=("split",))
     for without in (["eval"], []):
         wanted = ~F.col("split").isin(*without)
         rows = data.rows.where(wanted)
@@ -567,9 +572,9 @@ def feature_bundle(spark, sf):
             {
                 "terms": data.terms,
                 "words": data.words,
-                "features": data.features.where(wanted).drop("label"),
+                "features": features.where(wanted),
                 "labels": rows.select(*key, "split", "label"),
-                "tokens": rows.select(*key, "split").join(data.tokens, key),
+                "tokens": tokens.where(wanted),
             },
         )
     out = None
