@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import math
 
 import numpy as np
@@ -84,3 +85,27 @@ def test_score_batches(spark):
     out = features.score_batches(df, make, ["v"], input_tensor_shapes=[[2]], batch_size=3)
     assert {r["id"]: r["scores"] for r in out.collect()} == {i: [i + 1.0] for i in range(10)}
     assert out.select(F.size("scores")).first()[0] == 1
+
+
+def test_terms_are_counted_as_numbers_many_rows_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    words = ["aa", "aab", "a_", "ä1", "b0", "zz", "été", "aa0", "𐐨x", "ﬀ"]
+    rows = [[words[i] for i in rng.integers(0, len(words), n)] for n in (0, 1, 2, 30, 0, 400, 3)] + [None]
+    monkeypatch.setattr(features, "WORDS_AT_ONCE", 16)
+    got = features._counted_terms(pa.array(rows, pa.list_(pa.string()))).to_pylist()
+    for row, terms in zip(rows, got):
+        row = row or []
+        wanted = collections.Counter(row + [f"{a} {b}" for a, b in zip(row, row[1:])])
+        assert [(t["term"], t["tf"]) for t in terms] == sorted(wanted.items(), key=lambda x: x[0].encode())
+    df = features.term_frequencies(spark.createDataFrame([(1, None), (2, "Aa aa"), (3, "")], "id long, text string"), "text")
+    assert {r["id"]: [tuple(t) for t in r["tf"]] for r in df.collect()} == {1: [], 2: [("aa", 2), ("aa aa", 1)], 3: []}
+
+
+def test_terms_are_hashed_once_a_term_of_the_vocabulary(spark):
+    df = features.term_frequencies(texts(spark, "aa bb cc", "aa bb"), "text")
+    vocabulary = features.fitted(features.tfidf_fit(df))
+    plan = features.hashed_text_embedding(df, vocabulary, dim=16)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "md5" in line]
+    assert lines and all("idf" in line and "tf" not in line.replace("term", "") for line in lines)

@@ -198,3 +198,48 @@ def test_queries_are_copied_once_a_pack_of_cells(spark, monkeypatch):
     groups = rows.mapInArrow(knn._query_groups(layout, 2), "groups array<long>, bound double, qid long, vector array<float>")
     assert max(r[0] for r in groups.selectExpr("size(groups)").collect()) <= 4
     assert found(knn.knn_join(q, c, 5, "cosine")) == brute(queries, corpus, 5, "cosine", list(range(3000)))
+
+
+@pytest.mark.parametrize("metric", knn.METRICS)
+def test_most_pairs_are_neither_partitioned_nor_measured(metric, monkeypatch):
+    rng = np.random.default_rng(13)
+    vectors = knn.searchable(rng.normal(size=(6000, 16)), metric, is_query=False)
+    queries, corpus, order = vectors[:1000], vectors[1000:], rng.permutation(5000)
+    asked, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *args, **kw: asked.append(a.size) or partition(a, *args, **kw))
+    monkeypatch.setattr(knn, "PAIR_BUDGET", 1 << 20)
+    parts = list(knn.nearest_in_block(queries, np.full(1000, np.inf), corpus, order, metric, 5))
+    q, c, distance = (np.concatenate(p) for p in zip(*parts))
+    exact = 1 - queries @ corpus.T if metric == "cosine" else np.sqrt(knn.squared_distances(queries, corpus))
+    assert (c.reshape(1000, 5) == np.argsort(exact, axis=1)[:, :5]).all()
+    assert np.allclose(distance.reshape(1000, 5), np.sort(exact, axis=1)[:, :5], atol=1e-9)
+    assert sum(asked) < 1000 * 5000 / 2
+
+
+def test_equal_vectors_are_searched_for_once(monkeypatch):
+    rng = np.random.default_rng(17)
+    queries = knn.searchable(np.repeat(rng.normal(size=(3, 8)), 200, axis=0), "cosine", is_query=True)
+    corpus = knn.searchable(np.vstack([np.zeros((300, 8)), np.repeat(rng.normal(size=(2, 8)), 200, axis=0)]), "cosine", is_query=False)
+    one, order = np.ones(1, np.int64), rng.permutation(700)
+    layout = knn.CellLayout(
+        metric="cosine", k=4, pivots=corpus[:1], inner=np.zeros(1), outer=np.full(1, 2.0), nearest=np.full((1, 4), np.inf), blocks=one,
+        batches=one, pack=one - 1, pack_blocks=one, pack_batches=one, sample=corpus[:1],
+    )
+    shown, look = [], knn._Search.look
+    monkeypatch.setattr(knn._Search, "look", lambda self, rows, block, *rest: shown.append(len(rows) * len(block)) or look(self, rows, block, *rest))
+    parts = list(knn.nearest_in_cells(queries, np.full(600, np.inf), corpus, order, layout))
+    q, c, distance = (np.concatenate(p) for p in zip(*parts))
+    exact = np.array([np.lexsort((order, np.round(1 - corpus @ v, 9)))[:4] for v in queries[::200]])
+    assert sum(shown) <= 3 * 3 * 4
+    assert all((c[np.flatnonzero(q == i)] == exact[i // 200]).all() for i in range(600))
+
+
+@pytest.mark.parametrize("scale", [1e-30, 1e-3, 1e8, 1e30])
+def test_tight_clusters_and_extreme_lengths(scale):
+    rng = np.random.default_rng(19)
+    data = clustered(rng, 3000, width=1e-3) * scale
+    q, c, order = data[:300], data[300:], np.arange(2700)
+    parts = list(knn.nearest_in_block(q, np.full(300, np.inf), c, order, "euclidean", 5))
+    found_rows = np.concatenate([p[1] for p in parts]).reshape(300, 5)
+    exact = np.sqrt(((q[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)) if scale < 1e20 else np.sqrt((((q / scale)[:, None, :] - (c / scale)[None, :, :]) ** 2).sum(axis=2))
+    assert (found_rows == np.argsort(exact, axis=1, kind="stable")[:, :5]).all()
