@@ -99,8 +99,10 @@ def test_terms_are_counted_as_numbers_many_rows_at_a_time(spark, monkeypatch):
         row = row or []
         wanted = collections.Counter(row + [f"{a} {b}" for a, b in zip(row, row[1:])])
         assert [(t["term"], t["tf"]) for t in terms] == sorted(wanted.items(), key=lambda x: x[0].encode())
-    df = features.term_frequencies(spark.createDataFrame([(1, None), (2, "Aa aa"), (3, "")], "id long, text string"), "text")
-    assert {r["id"]: [tuple(t) for t in r["tf"]] for r in df.collect()} == {1: [], 2: [("aa", 2), ("aa aa", 1)], 3: []}
+    df = spark.createDataFrame([(1, None), (2, "Aa aa"), (3, "")], "id long, text string")
+    for batched in (False, True):
+        rows = features.term_frequencies(df, batched=batched).collect()
+        assert {r["id"]: [tuple(t) for t in r["tf"]] for r in rows} == {1: [], 2: [("aa", 2), ("aa aa", 1)], 3: []}
 
 
 def test_terms_are_hashed_once_a_term_of_the_vocabulary(spark):
